@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import MATERIAL_REQUIRED_COLUMNS, require_columns
+from fabgauge.operators.profile import missing_values
 
 
 def assert_empty(violations: DataFrame, message: str) -> None:
@@ -150,9 +151,6 @@ def assert_both_classes(df: DataFrame, label: str = "label_binary") -> None:
 
 def unimputable_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Features without a single value in the given (train) rows."""
-    counts = df.agg(*[F.count(c).alias(c) for c in features])
-    return (
-        counts.unpivot([], list(features), "feature", "non_null_count")
-        .where("non_null_count = 0")
-        .select("feature")
-    )
+    report = missing_values(df, features)
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return report.where(F.col("missing_count") == rows).select("feature")

@@ -75,7 +75,7 @@ def curve_areas(
         *group,
         F.col(score).alias("_s"),
         F.col(label).alias("_y"),
-        (-cell_number(F.col(score), cuts)).alias("_cell"),
+        (-cell_number(score, cuts)).alias("_cell"),
     )
     counts = {"_p": F.count_if(F.col("_y") == 1), "_q": F.count_if(F.col("_y") == 0)}
     above = cell_offsets(rows, group, ["_cell"], counts).withColumnsRenamed(

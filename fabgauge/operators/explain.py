@@ -12,6 +12,7 @@ from fabgauge.operators.evaluate import LABEL, SCORE, curve_areas, top_risk_ids
 from fabgauge.operators.models import FOREST, LOGISTIC, SEED, positive_score
 from fabgauge.operators.ordered import exact_median, hash_key, with_hash_rank, with_rank
 from fabgauge.operators.profile import melt
+from fabgauge.session import fix
 
 # Names of importance types and sample groups, list lengths.
 COEFFICIENT = "coefficient_abs"
@@ -88,19 +89,23 @@ def permuted_rows(
     """The test rows once per repeat and feature, with that feature taken from another row.
 
     In repeat r the row with id rank i gets the value of the row with rank i in the order of
-    md5(id|r|seed). Both ranks are computed cell by cell, and the rows meet in one equi-join
-    on (repeat, rank), whose keys are unique. All features share the order of a repeat.
+    md5(id|r|seed). Only ids are ranked, cell by cell, and paired by (repeat, rank), which is
+    unique; the feature columns join the pairs afterwards. All features share one order.
     """
-    rows = test.select(key, label, *features)
+    ids = test.select(key)
     numbered = with_rank(
-        rows.withColumn("_all", F.lit(1)), ["_all"], key, key, descending=False, name="_at"
+        ids.withColumn("_all", F.lit(1)), ["_all"], key, key, descending=False, name="_at"
     ).drop("_all")
     again = F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
-    receivers = numbered.select(again, *numbered.columns)
-    keyed = rows.select(again, key, *[F.col(f).alias(f"_new_{f}") for f in features])
-    keyed = keyed.withColumn("_order", hash_key(F.col(key), F.col("repeat"), seed))
-    donors = with_hash_rank(keyed, ["repeat"], "_order", key, "_at").drop(key, "_order")
-    paired = receivers.join(donors, ["repeat", "_at"])
+    receivers = numbered.select(again, key, "_at")
+    keyed = ids.select(again, F.col(key).alias("_donor"))
+    keyed = keyed.withColumn("_order", hash_key(F.col("_donor"), F.col("repeat"), seed))
+    donors = with_hash_rank(keyed, ["repeat"], "_order", "_donor", "_at").drop("_order")
+    pairs = receivers.join(donors, ["repeat", "_at"]).drop("_at")
+    values = test.select(
+        F.col(key).alias("_donor"), *[F.col(f).alias(f"_new_{f}") for f in features]
+    )
+    paired = pairs.join(test.select(key, label, *features), key).join(values, "_donor")
     changed = F.explode(F.lit(list(features))).alias("feature")
     return paired.select("*", changed).select(
         "repeat",
@@ -124,12 +129,17 @@ def permutation_importance(
     key: str = "sample_id",
     label: str = LABEL,
 ) -> DataFrame:
-    """Mean drop of average precision when one feature's values are shuffled."""
+    """Mean drop of average precision when one feature's values are shuffled.
+
+    The shuffled rows are scored once and their scores checkpointed, since the curve areas
+    read them several times.
+    """
     baseline = curve_areas(
         scorer(test.select(key, label, *features)).withColumn("_all", F.lit(1)), ["_all"], label
     )
     shuffled = scorer(permuted_rows(test, features, repeats, seed, key, label))
-    areas = curve_areas(shuffled, ["feature", "repeat"], label)
+    scores = fix(shuffled.select("feature", "repeat", label, SCORE))
+    areas = curve_areas(scores, ["feature", "repeat"], label)
     drops = areas.groupBy("feature").agg(
         (baseline.select("average_precision").scalar() - F.avg("average_precision")).alias(
             "importance"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,25 +11,14 @@ from fabgauge.operators.contracts import unimputable_features
 from fabgauge.operators.ordered import exact_median
 from fabgauge.operators.profile import melt
 
-FEATURE_BATCH = 100
-
 def train_medians(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
     """Exact median per feature over the train rows: ``feature, median``."""
     return column_medians(df.where(F.col(split) == "train"), features)
 
 
 def column_medians(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Exact median of each column that has a value: ``feature, median``.
-
-    Columns are melted in batches: each batch scans only its own columns and stays under the
-    128 keys at which Spark turns sketch aggregates from hashing to sorting.
-    """
-    batches = [features[i : i + FEATURE_BATCH] for i in range(0, len(features), FEATURE_BATCH)]
-    found = [
-        exact_median(melt(df, batch), ["feature"], "value").select("feature", "median")
-        for batch in batches
-    ]
-    return reduce(DataFrame.unionByName, found)
+    """Exact median of each column that has a value: ``feature, median``."""
+    return exact_median(melt(df, features), ["feature"], "value").select("feature", "median")
 
 
 def fit_medians(
@@ -60,22 +48,15 @@ def fill_long(long: DataFrame, medians: DataFrame) -> DataFrame:
 
 def scaler_params(train: DataFrame, features: Sequence[str]) -> DataFrame:
     """``feature, mean, scale``: mean and population deviation, 1 where that is 0."""
-    mean_of, scale_of = "mean.{}".format, "scale.{}".format
-    stats = train.agg(
-        *[F.avg(c).alias(mean_of(c)) for c in features],
-        *[F.stddev_pop(c).alias(scale_of(c)) for c in features],
-    )
-    rows = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"`{mean_of(c)}`").alias("mean"),
-            F.when(F.col(f"`{scale_of(c)}`") == 0, 1.0)
-            .otherwise(F.col(f"`{scale_of(c)}`"))
-            .alias("scale"),
+    deviation = F.stddev_pop("value")
+    return (
+        melt(train, features)
+        .groupBy("feature")
+        .agg(
+            F.avg("value").alias("mean"),
+            F.when(deviation == 0, 1.0).otherwise(deviation).alias("scale"),
         )
-        for c in features
-    ]
-    return stats.select(F.inline(F.array(*rows)))
+    )
 
 
 def fit_scaler(train: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:

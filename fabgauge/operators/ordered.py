@@ -16,14 +16,21 @@ from pyspark.sql import functions as F
 
 from fabgauge.session import pin
 
-CELLS = 64
+MIN_CELLS, MAX_CELLS = 16, 64
 # Half width of the percentile bracket kept around a median, and its sketch accuracy.
 MEDIAN_MARGIN = 0.005
 SKETCH_ACCURACY = 2000
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], cells: int = CELLS) -> dict[str, list]:
-    """Distinct approximate ``1/cells`` percentiles of each column, in one pass."""
+def cell_count(df: DataFrame) -> int:
+    """As many cells as shuffle partitions, within bounds that keep the cell search short."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(MIN_CELLS, min(MAX_CELLS, partitions))
+
+
+def cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+    """Distinct approximate percentiles of each numeric column, in one pass."""
+    cells = cell_count(df)
     shares = [i / cells for i in range(1, cells)]
     row = df.agg(
         *[F.percentile_approx(c, shares, 20 * cells).alias(c) for c in columns]
@@ -31,24 +38,29 @@ def cut_points(df: DataFrame, columns: Sequence[str], cells: int = CELLS) -> dic
     return {c: sorted(set(row[c] or [])) for c in columns}
 
 
-def cell_number(value: Column, cuts: Sequence) -> Column:
+def cell_number(column: str, cuts: Sequence[float | int]) -> Column:
     """Number of the cell a value falls in, growing with the value; -1 for NULL.
 
     Odd cells hold exactly one cut value, even cells the open interval between two cuts.
+    The search is a balanced tree of comparisons inside generated code.
     """
 
-    def search(low: int, high: int) -> Column:
+    name = f"`{column}`"
+
+    def literal(cut: float | int) -> str:
+        return f"DOUBLE('{cut!r}')" if isinstance(cut, float) else f"{cut}L"
+
+    def search(low: int, high: int) -> str:
         if low == high:
-            return F.lit(2 * low)
+            return str(2 * low)
         middle = (low + high) // 2
-        cut = F.lit(cuts[middle])
+        cut = literal(cuts[middle])
         return (
-            F.when(value < cut, search(low, middle))
-            .when(value == cut, F.lit(2 * middle + 1))
-            .otherwise(search(middle + 1, high))
+            f"CASE WHEN {name} < {cut} THEN {search(low, middle)} "
+            f"WHEN {name} = {cut} THEN {2 * middle + 1} ELSE {search(middle + 1, high)} END"
         )
 
-    return F.when(value.isNull(), F.lit(-1)).otherwise(search(0, len(cuts)))
+    return F.expr(f"CASE WHEN {name} IS NULL THEN -1 ELSE {search(0, len(cuts))} END")
 
 
 def cell_offsets(
@@ -75,22 +87,22 @@ def with_rank(
     tie: str,
     descending: bool = True,
     name: str = "rank",
-    cells: int = CELLS,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group by ``key``, then ``tie`` ascending.
 
     NULL keys come last. A key value shared by many rows gets a cell of its own, which is cut
     again by ``tie``, so one repeated value does not end up in one task.
     """
-    cuts = cut_points(df, [key, tie], cells)
-    number = cell_number(F.col(key), cuts[key])
-    shared = (number == -1) | (number % 2 != 0)
-    position = -number if descending else F.when(number == -1, 2 * cells + 2).otherwise(number)
-    placed = df.withColumns(
-        {
-            "_cell": position,
-            "_tie_cell": F.when(shared, cell_number(F.col(tie), cuts[tie])).otherwise(0),
-        }
+    cuts = cut_points(df, [key, tie])
+    number = F.col("_cell")
+    last = 2 * len(cuts[key]) + 1
+    position = -number if descending else F.when(number == -1, last).otherwise(number)
+    # Odd numbers and the NULL cell hold a single key value, where only the tie decides.
+    tie_cell = F.when(number % 2 != 0, cell_number(tie, cuts[tie])).otherwise(0)
+    placed = (
+        df.withColumn("_cell", cell_number(key, cuts[key]))
+        .withColumn("_tie_cell", tie_cell)
+        .withColumn("_cell", position)
     )
     keys = ["_cell", "_tie_cell"]
     offsets = cell_offsets(placed, group, keys, {"_before": F.count(F.lit(1))})

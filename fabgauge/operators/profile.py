@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,24 +12,42 @@ from fabgauge.functions.columns import sensor_columns
 from fabgauge.functions.rules import safe_ratio
 from fabgauge.session import SMALL_ROWS, pin
 
+MELT_BATCH = 64
+
 
 def melt(df: DataFrame, features: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
-    """Long form ``ids..., feature, value``; missing values stay as NULL rows."""
-    return df.unpivot(list(ids), list(features), "feature", "value")
+    """Long form ``ids..., feature, value``; missing values stay as NULL rows.
 
+    Spark gives up generated code and columnar scans above 100 columns, so wide tables are
+    turned in batches of columns. Each batch scans only its own columns; give it a stored
+    table or a plain projection of one, since what lies upstream runs once per batch.
+    """
+    starts = range(0, len(features), MELT_BATCH)
+    parts = [
+        df.unpivot(list(ids), list(features[i : i + MELT_BATCH]), "feature", "value")
+        for i in starts
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
-def missing_values(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """Per sensor: ``feature, missing_count, missing_ratio``.
 
-    Counts every column in one pass and turns the one result row; the rows are not melted.
-    """
+def per_feature(df: DataFrame, features: Sequence[str], counts: DataFrame) -> DataFrame:
+    """One row per feature even if the table is empty; ``counts`` has at most that many."""
+    names = df.sparkSession.range(1).select(F.explode(F.lit(list(features))).alias("feature"))
+    return names.join(F.broadcast(counts), "feature", "left")
+
+
+def missing_values(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """Per sensor: ``feature, missing_count, missing_ratio``."""
     names = sensor_columns(df) if features is None else list(features)
-    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(c) for c in names])
-    missing = F.col("_rows") - F.col("_present")
-    return counts.unpivot(["_rows"], names, "feature", "_present").select(
+    cells = melt(df, names).groupBy("feature")
+    counts = cells.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("missing")
+    )
+    missing = F.coalesce("missing", F.lit(0))
+    return per_feature(df, names, counts).select(
         "feature",
         missing.alias("missing_count"),
-        safe_ratio(missing, F.col("_rows")).alias("missing_ratio"),
+        safe_ratio(missing, F.coalesce("rows", F.lit(0))).alias("missing_ratio"),
     )
 
 
@@ -64,14 +83,13 @@ def duplicate_rows(df: DataFrame, ignore: Sequence[str] = ("sample_id",)) -> Dat
 def dataset_profile(df: DataFrame) -> DataFrame:
     """One row: rows, features, missing cells and their share, duplicate rows."""
     names = sensor_columns(df)
-    row = df.agg(F.count(F.lit(1)).alias("row_count"), *[F.count(c).alias(c) for c in names])
-    present = sum((F.col(c) for c in names), F.lit(0))
-    cells = F.col("row_count") * len(names)
-    return row.select(
+    missing = missing_values(df, names).agg(F.sum("missing_count").alias("n")).scalar()
+    rows = df.agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.select(
         "row_count",
         F.lit(len(names)).cast("long").alias("feature_count"),
-        (cells - present).alias("total_missing_values"),
-        safe_ratio(cells - present, cells).alias("overall_missing_value_ratio"),
+        missing.alias("total_missing_values"),
+        safe_ratio(missing, F.col("row_count") * len(names)).alias("overall_missing_value_ratio"),
         duplicate_rows(df).scalar().alias("duplicate_row_count"),
     )
 

@@ -16,7 +16,7 @@ from fabgauge.functions.rules import (
     recommended_action,
     safe_ratio,
 )
-from fabgauge.operators.profile import melt
+from fabgauge.operators.profile import melt, per_feature
 
 
 def feature_quality(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
@@ -33,6 +33,7 @@ def feature_quality(df: DataFrame, features: Sequence[str] | None = None) -> Dat
         present.alias("non_null_count"),
         F.count("value").alias("unique_non_null_count"),
     )
+    counts = per_feature(df, names, counts).fillna(0)
     missing = F.col("row_count") - F.col("non_null_count")
     ratio = safe_ratio(missing, F.col("row_count"))
     constant = F.col("unique_non_null_count") <= 1

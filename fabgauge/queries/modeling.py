@@ -11,7 +11,8 @@ from fabgauge.queries import adapters as A
 from fabgauge.queries.events import d1_master
 from fabgauge.queries.registry import query, rounded, rounded_sql, with_tables
 from fabgauge.queries.scoring import areas_sql
-from fabgauge.queries.wide import LONG, WIDE_SPLIT, BINARY, wide_master
+from fabgauge.queries.wide import BINARY, LONG, WIDE_SPLIT, wide_master
+from fabgauge.session import fix
 
 # Forest size and repeats of the registered queries; the library defaults are larger.
 QUERY_TREES = 40
@@ -23,7 +24,7 @@ QUERY_REPEATS = 2
 def fitted(spark, folder):
     """Master table, test rows, features and both models; shared by the queries below."""
     built = wide_master(spark, folder)
-    train, test = split.train_test(built.table)
+    train, test = split.train_test(fix(built.table))
     logistic = models.train_logistic(train, built.features)
     forest = models.train_forest(train, built.features, trees=QUERY_TREES, depth=QUERY_DEPTH)
     return built, test, logistic, forest
@@ -35,7 +36,7 @@ def _scored(spark, folder):
         models.LOGISTIC: models.positive_score(logistic, test),
         models.FOREST: models.positive_score(forest, test),
     }
-    return evaluate.stack(tables, "model_name")
+    return fix(evaluate.stack(tables, "model_name"))
 
 
 @query("train_logistic")
@@ -80,9 +81,14 @@ def feature_importance(spark, folder):
     )
 
 
+def trained_on(master):
+    """Train on a material master written to the checkpoint folder first."""
+    return models.train_and_evaluate(fix(master), QUERY_TREES, QUERY_DEPTH)
+
+
 @lru_cache(maxsize=4)
 def _trained(spark, folder):
-    return models.train_and_evaluate(d1_master(spark, folder), QUERY_TREES, QUERY_DEPTH)
+    return trained_on(d1_master(spark, folder))
 
 
 @query("predictions")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fabgauge.operators import evaluate, explain, models, profile
+from fabgauge.operators import evaluate, explain, profile
 from fabgauge.plans import master, summary
 from fabgauge.queries import adapters as A
 from fabgauge.queries import events, modeling, scoring, wide
@@ -248,7 +248,7 @@ def quality_summary(spark, folder):
 @query("model_comparison")
 def model_comparison(spark, folder):
     tables = [
-        models.train_and_evaluate(m, modeling.QUERY_TREES, modeling.QUERY_DEPTH).metrics
+        modeling.trained_on(m).metrics
         for m in (events.d1_master(spark, folder), events.d2_master(spark, folder))
     ]
     return summary.model_comparison(tables)
