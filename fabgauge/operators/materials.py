@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +24,10 @@ MATERIAL_LINEAGE = {
     "aggregation_strategy": "retrospective_material_level_summary",
 }
 STATISTICS = ["mean", "std", "min", "max"]
-# Up to this many step averages are computed beside the other aggregates in one grouping.
-STEP_AVERAGES_IN_PLACE = 400
+# Aggregates per grouping that Spark still turns into code the JVM compiles well.
+AGGREGATES_PER_GROUPING = 60
+# More steps than this are averaged per material and step first and then turned.
+STEPS_IN_PLACE = 40
 
 
 def _known(df: DataFrame) -> DataFrame:
@@ -101,7 +104,7 @@ def material_duration_stats(df: DataFrame) -> DataFrame:
 
 
 def material_feature_stats(df: DataFrame) -> DataFrame:
-    return _by_material(df, feature_aggregates(event_features(df)))
+    return _by_material_packed(df, [feature_aggregates([f]) for f in event_features(df)])
 
 
 def _by_material(df: DataFrame, aggregates: Sequence[Column]) -> DataFrame:
@@ -109,26 +112,41 @@ def _by_material(df: DataFrame, aggregates: Sequence[Column]) -> DataFrame:
     return grouped.agg(*aggregates)
 
 
+def _by_material_packed(df: DataFrame, blocks: Sequence[Sequence[Column]]) -> DataFrame:
+    """Aggregate blocks of columns by material, several blocks per grouping while they fit.
+
+    Each grouping reads its own columns and combines before its shuffle. The results are
+    partitioned by material already, so laying them side by side adds no shuffle.
+    """
+    groupings: list[list[Column]] = []
+    for block in blocks:
+        if not groupings or len(groupings[-1]) + len(block) > AGGREGATES_PER_GROUPING:
+            groupings.append([])
+        groupings[-1] += block
+    parts = [_by_material(df, aggregates) for aggregates in groupings]
+    return reduce(lambda left, right: left.join(right, "material_id"), parts)
+
+
 def step_means(df: DataFrame, features: Sequence[str], steps: Sequence) -> DataFrame:
     """One column per feature and step with the mean; no value where a step did not occur.
 
-    Few columns are averaged conditionally in one grouping. Many go through a mean per
-    material and step first, which is then turned once with the known list of steps.
+    Few steps are averaged conditionally. Many go through a mean per material and step
+    first, which is then turned once with the known list of steps.
     """
-    if len(features) * len(steps) <= STEP_AVERAGES_IN_PLACE:
-        return _by_material(df, step_aggregates(features, steps))
+    if len(steps) <= STEPS_IN_PLACE:
+        return _by_material_packed(df, [step_aggregates([f], steps) for f in features])
     per_step = (
         _known(df)
         .groupBy(F.col("MaterialID").alias("material_id"), "StepID")
         .agg(*[F.avg(f).alias(f) for f in features])
     )
     turned = per_step.groupBy("material_id").pivot("StepID", list(steps))
-    # Without a second aggregate Spark names pivoted columns by step alone.
     wide = turned.agg(*[F.first(f).alias(f) for f in features])
-    suffix = (lambda s, f: str(s)) if len(features) == 1 else (lambda s, f: f"{s}_{f}")
+    # Spark names a pivoted column by its step alone when there is one aggregate.
+    name = (lambda s, f: str(s)) if len(features) == 1 else (lambda s, f: f"{s}_{f}")
     return wide.select(
         "material_id",
-        *[F.col(f"`{suffix(s, f)}`").alias(step_column(f, s)) for f in features for s in steps],
+        *[F.col(f"`{name(s, f)}`").alias(step_column(f, s)) for f in features for s in steps],
     )
 
 
@@ -141,18 +159,18 @@ def material_master(
 ) -> DataFrame:
     """One row per material: metadata first, then duration, feature and step columns.
 
-    All aggregates share one grouping by material and combine before its shuffle.
+    A few features take one grouping, more of them several over the same rows, so give it a
+    columnar table.
     """
     require_columns(df, EVENT_REQUIRED_COLUMNS, "Event table")
     features = event_features(df)
     steps = observed_steps(df) if steps is None else list(steps)
-    aggregates = [*base_aggregates(steps), *duration_aggregates(), *feature_aggregates(features)]
-    in_place = len(features) * len(steps) <= STEP_AVERAGES_IN_PLACE
-    if in_place:
-        aggregates += step_aggregates(features, steps)
-    master = _by_material(df, aggregates)
-    if not in_place:
-        master = master.join(step_means(df, features, steps), "material_id", "left")
+    in_place = steps if len(steps) <= STEPS_IN_PLACE else []
+    blocks = [[*base_aggregates(steps), *duration_aggregates()]]
+    blocks += [[*feature_aggregates([f]), *step_aggregates([f], in_place)] for f in features]
+    master = _by_material_packed(df, blocks)
+    if features and len(steps) > STEPS_IN_PLACE:
+        master = master.join(step_means(df, features, steps), "material_id")
     master = master.withColumns(
         {
             "dataset_id": F.lit(dataset_id),
