@@ -123,6 +123,8 @@ def _by_material_packed(df: DataFrame, blocks: Sequence[Sequence[Column]]) -> Da
         if not groupings or len(groupings[-1]) + len(block) > AGGREGATES_PER_GROUPING:
             groupings.append([])
         groupings[-1] += block
+    if not groupings:
+        return _known(df).select(F.col("MaterialID").alias("material_id")).distinct()
     parts = [_by_material(df, aggregates) for aggregates in groupings]
     return reduce(lambda left, right: left.join(right, "material_id"), parts)
 
