@@ -83,16 +83,12 @@ def material_master_violations(df: DataFrame) -> DataFrame:
     require_columns(df, MATERIAL_REQUIRED_COLUMNS, "Material master")
     label, split = F.col("label_binary"), F.col("official_split")
 
-    def rows_where(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("n")).otherwise(0))
-
-    per_id = df.groupBy("material_id", label, split).agg(F.count(F.lit(1)).alias("n"))
-    ids = per_id.groupBy("material_id").agg(
-        F.sum("n").alias("n"),
-        rows_where(label.isNull() | ~label.isin(0, 1)).alias("bad_label"),
-        rows_where(split.isNull() | ~split.isin("train", "test")).alias("bad_split"),
-        rows_where(split == "train").alias("train"),
-        rows_where(split == "test").alias("test"),
+    ids = df.groupBy("material_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(label.isNull() | ~label.isin(0, 1)).alias("bad_label"),
+        F.count_if(split.isNull() | ~split.isin("train", "test")).alias("bad_split"),
+        F.count_if(split == "train").alias("train"),
+        F.count_if(split == "test").alias("test"),
     )
     totals = ids.agg(
         F.sum((F.col("n") > 1).cast("long")).alias("duplicate_material_id"),

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from fabgauge.operators.contracts import unimputable_features
 from fabgauge.operators.ordered import exact_median
 from fabgauge.operators.profile import melt
+from fabgauge.session import pin
+
 
 def train_medians(df: DataFrame, features: Sequence[str], split: str = "split") -> DataFrame:
     """Exact median per feature over the train rows: ``feature, median``."""
@@ -42,7 +44,7 @@ def fill(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
 
 def fill_long(long: DataFrame, medians: DataFrame) -> DataFrame:
     """Long form: each missing value becomes its feature's median."""
-    filled = long.join(medians, "feature").withColumn("value", F.coalesce("value", "median"))
+    filled = long.join(pin(medians), "feature").withColumn("value", F.coalesce("value", "median"))
     return filled.drop("median")
 
 

@@ -17,6 +17,7 @@ from fabgauge.functions.rules import (
     safe_ratio,
 )
 from fabgauge.operators.profile import melt, per_feature
+from fabgauge.session import pin
 
 
 def feature_quality(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
@@ -118,4 +119,4 @@ def selected_features(df: DataFrame, quality: DataFrame) -> list[str]:
 def selected_values(long: DataFrame, quality: DataFrame) -> DataFrame:
     """Long-form rows of the features graded keep or review."""
     wanted = quality.where(F.col("recommended_action").isin(SELECTED_ACTIONS))
-    return long.join(wanted.select("feature"), "feature", "left_semi")
+    return long.join(pin(wanted.select("feature")), "feature", "left_semi")

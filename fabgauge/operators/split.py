@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import require_columns
 from fabgauge.functions.rules import check_open_unit
-from fabgauge.operators.ordered import cell_offsets, hash_key
+from fabgauge.operators.ordered import hash_key
 from fabgauge.session import pin
 
 
@@ -32,14 +32,19 @@ def stratified_split(
     ).where("_class IS NOT NULL")
     keys = keys.withColumn("_cell", F.substring("_order", 1, 3))
 
-    starts = cell_offsets(keys, ["_class"], ["_cell"], {"_before": F.count(F.lit(1))})
-    sizes = keys.groupBy("_class").agg(F.count(F.lit(1)).alias("_n"))
+    counted = keys.groupBy("_class", "_cell").agg(F.count(F.lit(1)).alias("_c"))
+    every = Window.partitionBy("_class")
+    earlier = every.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     wanted = F.bround(F.col("_n") * F.lit(float(test_size))).cast("long")
-    quota = sizes.where("_n > 1").select(
-        "_class", F.greatest(F.lit(1), F.least(wanted, F.col("_n") - 1)).alias("_quota")
-    )
     last_cell = (
-        starts.join(quota, "_class")
+        counted.withColumns(
+            {
+                "_n": F.sum("_c").over(every),
+                "_before": F.coalesce(F.sum("_c").over(earlier), F.lit(0)),
+            }
+        )
+        .where("_n > 1")
+        .withColumn("_quota", F.greatest(F.lit(1), F.least(wanted, F.col("_n") - 1)))
         .where("_before < _quota")
         .groupBy("_class", "_quota")
         .agg(F.max_by("_cell", "_before").alias("_cell"), F.max("_before").alias("_before"))

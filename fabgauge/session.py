@@ -29,13 +29,21 @@ def fix(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def pin(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Compute a summary table once and return it as constant data.
+def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
+    """The rows as constant data, or None if there are more than ``max_rows``.
 
-    Up to ``max_rows`` rows become a local relation, whose known size lets Spark broadcast
-    it in joins. A larger table is checkpointed instead and joins by shuffle.
+    The result is a local relation, whose known size lets Spark broadcast it in joins.
     """
     head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return df.sparkSession.createDataFrame(head, schema=df.schema)
-    return fix(df)
+    if head.num_rows > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(head, schema=df.schema)
+
+
+def pin(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Compute a summary table once: as constant data if small, else as a checkpoint.
+
+    A small one is broadcast in joins, a large one joins by shuffle.
+    """
+    constant = small(df, max_rows)
+    return fix(df) if constant is None else constant

@@ -66,10 +66,10 @@ def dataset_catalog(catalog: DataFrame) -> DataFrame:
     return catalog.select(*CATALOG_FIELDS)
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """A checked catalog from a JSON array or JSON lines file."""
+def read_catalog(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A checked catalog from a JSON array, or from JSON lines."""
     schema = ", ".join(f"{f} string" for f in CATALOG_FIELDS)
-    catalog = spark.read.json(path, schema=schema, multiLine=True)
+    catalog = spark.read.json(path, schema=schema, multiLine=not lines)
     assert_empty(catalog_violations(catalog), "Dataset catalog breaks its rules")
     return dataset_catalog(catalog)
 

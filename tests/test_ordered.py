@@ -157,6 +157,13 @@ def test_duplicates_with_a_hot_row(spark):
     assert duplicate_rows(df, ignore=()).first()[0] == 0
 
 
+def test_duplicates_with_many_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr("fabgauge.operators.profile.small", lambda df: None)
+    rows = [(i, i % 40, "x") for i in range(100)]
+    df = spark.createDataFrame(rows, "sample_id long, a int, b string")
+    assert duplicate_rows(df).first()[0] == 60
+
+
 def test_pin_keeps_rows_and_falls_back_to_a_checkpoint(spark):
     df = spark.range(50).withColumn("x", F.col("id") * 0.5)
     small, large = pin(df), pin(df, max_rows=10)

@@ -1,6 +1,7 @@
 """Readers, writers and the catalog."""
 
 import datetime
+import json
 
 import pytest
 
@@ -134,8 +135,11 @@ def test_catalog_rules(spark, tmp_path):
     with pytest.raises(ValueError, match="missing required"):
         catalog.catalog_violations(good.drop("notes"))
     path = str(tmp_path / "catalog")
-    good.write.option("ignoreNullFields", False).json(path)
-    assert catalog.catalog_plan(catalog.read_catalog(spark, path)).columns == catalog.PLAN_FIELDS
+    good.coalesce(1).write.option("ignoreNullFields", False).json(path)
+    plan = catalog.catalog_plan(catalog.read_catalog(spark, path, lines=True))
+    assert plan.columns == catalog.PLAN_FIELDS and plan.count() == 2
+    array = write(tmp_path / "catalog.json", json.dumps([entry(), entry(dataset_id="b")]))
+    assert catalog.read_catalog(spark, array).count() == 2
 
 
 def test_inventory(spark, tmp_path):
