@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fabgauge.functions.rules import check_open_unit, f_beta, predicted_label, safe_ratio
-from fabgauge.operators.ordered import cell_number, cell_offsets, cut_points, with_rank
+from fabgauge.operators.ordered import cell_offsets, cut_points, with_cell, with_rank
 from fabgauge.session import pin
 
 # The threshold grid 0.05 to 0.95, names of thresholds, warning text.
@@ -70,13 +70,12 @@ def curve_areas(
     shifted by the totals of the cells above, so a model's rows never meet in one task.
     """
     group = list(group)
-    cuts = cut_points(scored, [score])[score]
     rows = scored.where(F.col(score).isNotNull()).select(
-        *group,
-        F.col(score).alias("_s"),
-        F.col(label).alias("_y"),
-        (-cell_number(score, cuts)).alias("_cell"),
+        *group, F.col(score).alias("_s"), F.col(label).alias("_y")
     )
+    cuts = cut_points(rows, ["_s"])["_s"]
+    placed = with_cell(rows, "_s", cuts, "_cell").drop("_cell_single")
+    rows = placed.withColumn("_cell", -F.col("_cell"))
     counts = {"_p": F.count_if(F.col("_y") == 1), "_q": F.count_if(F.col("_y") == 0)}
     above = cell_offsets(rows, group, ["_cell"], counts).withColumnsRenamed(
         {"_p": "_p0", "_q": "_q0"}

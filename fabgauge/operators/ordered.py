@@ -10,6 +10,7 @@ then run inside a cell.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,50 +18,84 @@ from pyspark.sql import functions as F
 from fabgauge.session import pin
 
 MIN_CELLS, MAX_CELLS = 16, 64
+# Equal pieces a median bracket is cut into, at most.
+SMALL_PIECES = 256
 # Half width of the percentile bracket kept around a median, and its sketch accuracy.
 MEDIAN_MARGIN = 0.005
 SKETCH_ACCURACY = 2000
 
 
-def cell_count(df: DataFrame) -> int:
-    """As many cells as shuffle partitions, within bounds that keep the cell search short."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(MIN_CELLS, min(MAX_CELLS, partitions))
+@dataclass(frozen=True)
+class Cuts:
+    """Distinct cut values of a numeric column, and pieces per interval between two of them."""
 
+    values: tuple
+    pieces: int
 
-def cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
-    """Distinct approximate percentiles of each numeric column, in one pass."""
-    cells = cell_count(df)
-    shares = [i / cells for i in range(1, cells)]
+
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, Cuts]:
+    """Approximate percentiles of numeric columns, in one pass.
+
+    There are about as many cells as shuffle partitions. Up to MAX_CELLS of them are told
+    apart by cut values; beyond that the intervals are cut again into equal widths.
+    """
+    partitions = shuffle_partitions(df)
+    cells = max(MIN_CELLS, min(MAX_CELLS, partitions))
+    shares = [i / cells for i in range(cells + 1)]
     row = df.agg(
         *[F.percentile_approx(c, shares, 20 * cells).alias(c) for c in columns]
     ).first()
-    return {c: sorted(set(row[c] or [])) for c in columns}
+    pieces = -(-partitions // cells)
+    return {c: Cuts(tuple(sorted(set(row[c] or []))), pieces) for c in columns}
 
 
-def cell_number(column: str, cuts: Sequence[float | int]) -> Column:
-    """Number of the cell a value falls in, growing with the value; -1 for NULL.
+def _place(column: str, values: Sequence[float | int]) -> Column:
+    """``2k + 1`` for exactly the cut value k, ``2k`` for the open interval below it.
 
-    Odd cells hold exactly one cut value, even cells the open interval between two cuts.
     The search is a balanced tree of comparisons inside generated code.
     """
 
-    name = f"`{column}`"
-
-    def literal(cut: float | int) -> str:
-        return f"DOUBLE('{cut!r}')" if isinstance(cut, float) else f"{cut}L"
+    def literal(value: float | int) -> str:
+        return f"DOUBLE('{value!r}')" if isinstance(value, float) else f"{value}L"
 
     def search(low: int, high: int) -> str:
         if low == high:
             return str(2 * low)
         middle = (low + high) // 2
-        cut = literal(cuts[middle])
+        cut = literal(values[middle])
         return (
-            f"CASE WHEN {name} < {cut} THEN {search(low, middle)} "
-            f"WHEN {name} = {cut} THEN {2 * middle + 1} ELSE {search(middle + 1, high)} END"
+            f"CASE WHEN `{column}` < {cut} THEN {search(low, middle)} "
+            f"WHEN `{column}` = {cut} THEN {2 * middle + 1} ELSE {search(middle + 1, high)} END"
         )
 
-    return F.expr(f"CASE WHEN {name} IS NULL THEN -1 ELSE {search(0, len(cuts))} END")
+    return F.expr(search(0, len(values)))
+
+
+def with_cell(df: DataFrame, column: str, cuts: Cuts, name: str) -> DataFrame:
+    """Add the number of the cell a value falls in, growing with the value; -1 for NULL.
+
+    ``<name>_single`` tells whether the cell holds one value only.
+    """
+    placed = df.withColumn(name, _place(column, cuts.values))
+    place, value = F.col(name), F.col(column)
+    # Rounding keeps the pieces of an interval in value order; the open ends have one piece.
+    ends = F.lit([float(v) for v in cuts.values] or [0.0])
+    lower, upper = F.get(ends, F.expr(f"{name} DIV 2 - 1")), F.get(ends, F.expr(f"{name} DIV 2"))
+    piece = F.floor((value - lower) / (upper - lower) * cuts.pieces).cast("int")
+    piece = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(cuts.pieces - 1), piece)), F.lit(0))
+    number = place * cuts.pieces
+    if cuts.pieces > 1:
+        number = number + F.when(place % 2 == 0, piece).otherwise(0)
+    return placed.withColumns(
+        {
+            name: F.when(value.isNull(), -1).otherwise(number),
+            f"{name}_single": value.isNull() | (place % 2 == 1),
+        }
+    )
 
 
 def cell_offsets(
@@ -94,16 +129,14 @@ def with_rank(
     again by ``tie``, so one repeated value does not end up in one task.
     """
     cuts = cut_points(df, [key, tie])
-    number = F.col("_cell")
-    last = 2 * len(cuts[key]) + 1
-    position = -number if descending else F.when(number == -1, last).otherwise(number)
-    # Odd numbers and the NULL cell hold a single key value, where only the tie decides.
-    tie_cell = F.when(number % 2 != 0, cell_number(tie, cuts[tie])).otherwise(0)
-    placed = (
-        df.withColumn("_cell", cell_number(key, cuts[key]))
-        .withColumn("_tie_cell", tie_cell)
-        .withColumn("_cell", position)
-    )
+    placed = with_cell(with_cell(df, key, cuts[key], "_cell"), tie, cuts[tie], "_tie_cell")
+    cell, last = F.col("_cell"), (2 * len(cuts[key].values) + 1) * cuts[key].pieces
+    placed = placed.withColumns(
+        {
+            "_cell": -cell if descending else F.when(cell == -1, last).otherwise(cell),
+            "_tie_cell": F.when(F.col("_cell_single"), F.col("_tie_cell")).otherwise(0),
+        }
+    ).drop("_cell_single", "_tie_cell_single")
     keys = ["_cell", "_tie_cell"]
     offsets = cell_offsets(placed, group, keys, {"_before": F.count(F.lit(1))})
     order = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
@@ -125,7 +158,8 @@ def with_hash_rank(
     df: DataFrame, group: Sequence[str], key: str, tie: str, name: str
 ) -> DataFrame:
     """Like ``with_rank`` ascending, for md5 keys: their first digits are even cells already."""
-    placed = df.withColumn("_cell", F.substring(key, 1, 2))
+    digits = 2 if shuffle_partitions(df) <= 256 else 3
+    placed = df.withColumn("_cell", F.substring(key, 1, digits))
     offsets = cell_offsets(placed, group, ["_cell"], {"_before": F.count(F.lit(1))})
     inside = Window.partitionBy(*group, "_cell").orderBy(key, tie)
     return (
@@ -157,10 +191,10 @@ def exact_median(
             *group, "n", F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high")
         )
     )
-    found = pin(_medians_in(values, group, brackets))
-    missed = found.where("NOT hit").select(*group)
+    found = pin(_medians_in(values, group, brackets).where("hit").drop("hit"))
+    missed = brackets.select(*group).join(found, list(group), "left_anti")
     if missed.isEmpty():
-        return found.drop("hit")
+        return found
     # The sketch gives no hard bound, so groups it misplaced are bracketed again, twice as wide.
     wider = exact_median(
         values.join(missed, list(group), "left_semi"),
@@ -169,40 +203,61 @@ def exact_median(
         min(2 * margin, 0.5),
         2 * accuracy,
     )
-    return pin(found.where("hit").drop("hit").unionByName(wider))
+    return pin(found.unionByName(wider))
 
 
 def _medians_in(values: DataFrame, group: Sequence[str], brackets: DataFrame) -> DataFrame:
-    # Values under the bracket share one NULL entry, which sorts first.
+    group = list(group)
+    # The bracket is cut into pieces of equal width; all values under it share one NULL entry.
+    pieces = max(MIN_CELLS, min(SMALL_PIECES, shuffle_partitions(values)))
+    width = "(_high - _low)"
+    piece = f"least({pieces - 1}, floor((_v - _low) / {width} * {pieces}))"
     entries = (
-        values.join(brackets, list(group))
+        values.join(brackets, group)
         .where("_v <= _high")
-        .withColumn("_v", F.expr("CASE WHEN _v >= _low THEN _v END"))
-        .groupBy(*group, "n", "_v")
+        .selectExpr(
+            *group,
+            "n",
+            f"CASE WHEN _v < _low THEN -1 WHEN {width} > 0 AND {width} < 1e300 THEN {piece} "
+            "ELSE 0 END AS _cell",
+            "CASE WHEN _v >= _low THEN _v END AS _v",
+        )
+        .groupBy(*group, "n", "_cell", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumns({"_lower": F.expr("(n + 1) DIV 2"), "_upper": F.expr("n DIV 2 + 1")})
+    )
+    # Only the one or two pieces that hold the middle ranks of a group are sorted.
+    earlier = (
+        Window.partitionBy(*group, "_lower", "_upper")
+        .orderBy("_cell")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    middle = (
+        entries.groupBy(*group, "_lower", "_upper", "_cell")
+        .agg(F.sum("_c").alias("_size"))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+        .where("_before < _upper AND _before + _size >= _lower")
+        .select(*group, "_cell", "_before")
     )
     upto = (
-        Window.partitionBy(*group, "n")
+        Window.partitionBy(*group, "_cell")
         .orderBy(F.col("_v").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    lower, upper = F.expr("(n + 1) DIV 2"), F.expr("n DIV 2 + 1")
-    below = F.coalesce(F.max(F.expr("CASE WHEN _v IS NULL THEN _c END")), F.lit(0))
     return (
-        entries.withColumn("_to", F.sum("_c").over(upto))
-        .withColumns({"_lower": lower, "_upper": upper})
+        entries.join(F.broadcast(middle), [*group, "_cell"])  # at most two rows per group
+        .withColumn("_to", F.sum("_c").over(upto) + F.col("_before"))
         .groupBy(*group, "n", "_lower", "_upper")
         .agg(
             F.min(F.expr("CASE WHEN _to >= _lower THEN _v END")).alias("_a"),
             F.min(F.expr("CASE WHEN _to >= _upper THEN _v END")).alias("_b"),
-            below.alias("_below"),
+            F.max(F.expr("_cell = -1")).alias("_under"),
+            F.max("_to").alias("_reached"),
         )
         .select(
             *group,
             "n",
             ((F.col("_a") + F.col("_b")) / 2).alias("median"),
-            (
-                (F.col("_below") < F.col("_lower")) & F.col("_b").isNotNull()
-            ).alias("hit"),
+            (~F.col("_under") & (F.col("_reached") >= F.col("_upper"))).alias("hit"),
         )
     )

@@ -283,17 +283,23 @@ def check_label_domain(spark, folder):
 
 @query(
     "check_imputable",
-    f"""SELECT feature FROM (SELECT {", ".join(f"count({s}) AS {s}" for s in A.SENSORS)},
-      count(CASE WHEN sample_id % 2 = 0 THEN sensor_000 END) AS sensor_empty
-      FROM ({A.SENSOR_WIDE_SQL}) WHERE sample_id % 2 = 1)
-    UNPIVOT (n FOR feature IN ({SENSOR_LIST}, sensor_empty)) WHERE n = 0""",
+    with_tables(
+        {
+            **WIDE_SPLIT,
+            "train": "SELECT *, CASE WHEN split = 'test' THEN sensor_000 END AS sensor_empty "
+            "FROM parted WHERE split = 'train'",
+        },
+        f"""SELECT feature FROM (SELECT {", ".join(f"count({s}) AS {s}" for s in A.SENSORS)},
+          count(sensor_empty) AS sensor_empty FROM train)
+        UNPIVOT (n FOR feature IN ({SENSOR_LIST}, sensor_empty)) WHERE n = 0""",
+    ),
 )
 def check_imputable(spark, folder):
-    # Even ids stand for test rows here, and one more sensor has values only there.
-    wide = A.sensor_wide(spark, folder).withColumn(
-        "sensor_empty", F.expr("CASE WHEN sample_id % 2 = 0 THEN sensor_000 END")
+    # One more sensor, which has values in the test rows only.
+    rows = wide_split(spark, folder).withColumn(
+        "sensor_empty", F.expr("CASE WHEN split = 'test' THEN sensor_000 END")
     )
-    train = wide.where("sample_id % 2 = 1")
+    train, _ = split.train_test(rows, label="label")
     return contracts.unimputable_features(train, [*A.SENSORS, "sensor_empty"])
 
 

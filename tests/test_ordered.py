@@ -42,12 +42,38 @@ def test_rank_equals_plain_window(spark, descending):
 def test_repeated_score_is_spread_over_several_cells(spark):
     rows = skewed_scores(spark).where("defect_probability = 0.25")
     cuts = ordered.cut_points(rows, ["defect_probability", "sample_id"])
-    assert cuts["defect_probability"] == [0.25]
-    tie = ordered.cell_number("sample_id", cuts["sample_id"])
-    sizes = [r["count"] for r in rows.groupBy(tie).count().collect()]
+    assert cuts["defect_probability"].values == (0.25,)
+    placed = ordered.with_cell(rows, "sample_id", cuts["sample_id"], "cell")
+    sizes = [r["count"] for r in placed.groupBy("cell").count().collect()]
     assert max(sizes) < sum(sizes) / 4
 
 
+def test_cells_grow_with_the_value(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "MIN_CELLS", 3)
+    monkeypatch.setattr(ordered, "MAX_CELLS", 3)
+    rows = skewed_scores(spark)
+    cuts = ordered.cut_points(rows, ["defect_probability"])["defect_probability"]
+    assert cuts.pieces == 3
+    placed = ordered.with_cell(rows, "defect_probability", cuts, "cell")
+    cells = placed.groupBy("cell", "cell_single").agg(
+        F.min("defect_probability").alias("low"), F.max("defect_probability").alias("high")
+    )
+    found = sorted(cells.collect(), key=lambda r: r.cell)
+    assert found[0].cell == -1 and found[0].low is None and found[0].cell_single
+    for below, above in zip(found[1:], found[2:]):
+        assert below.high < above.low
+    assert any(r.cell_single and r.low == r.high == 0.25 for r in found)
+    assert len(found) > 6
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_with_cut_intervals(spark, monkeypatch, descending):
+    monkeypatch.setattr(ordered, "MIN_CELLS", 3)
+    monkeypatch.setattr(ordered, "MAX_CELLS", 3)
+    test_rank_equals_plain_window(spark, descending)
+    test_curve_areas_equal_brute_force(spark)
+
+
 def test_rank_of_constant_and_of_empty_table(spark):
     one = spark.createDataFrame([(i, "m", 0.5) for i in range(9)], "id long, m string, s double")
     ranked = ordered.with_rank(one, ["m"], "s", "id")
@@ -83,6 +109,17 @@ def test_median_recovers_from_a_misplaced_bracket(spark):
     assert {r.feature: pytest.approx(r.median, abs=1e-12) for r in found.collect()} == expected
 
 
+@pytest.mark.parametrize(("low", "high"), [(0.0, 0.2), (0.8, 1.0), (0.45, 0.55)])
+def test_bracket_beside_the_median_finds_nothing(spark, low, high):
+    rows = [("f", i / 1000) for i in range(1001)]
+    df = spark.createDataFrame(rows, "feature string, _v double")
+    bracket = spark.createDataFrame(
+        [("f", 1001, low, high)], "feature string, n long, _low double, _high double"
+    )
+    found = ordered._medians_in(df, ["feature"], bracket).where("hit").collect()
+    assert [r.median for r in found] == ([0.5] if low < 0.5 < high else [])
+
+
 def _brute_areas(rows):
     positives = sum(y for y, _ in rows)
     negatives = len(rows) - positives
