@@ -131,12 +131,11 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean drop of average precision when one feature's values are shuffled.
 
-    The shuffled rows are scored once and their scores checkpointed, since the curve areas
-    read them several times.
+    All rows are scored once and their scores checkpointed, since the curve areas read them
+    several times.
     """
-    baseline = curve_areas(
-        scorer(test.select(key, label, *features)).withColumn("_all", F.lit(1)), ["_all"], label
-    )
+    plain = scorer(test.select(key, label, *features))
+    baseline = curve_areas(fix(plain.select(F.lit(1).alias("_all"), label, SCORE)), ["_all"], label)
     shuffled = scorer(permuted_rows(test, features, repeats, seed, key, label))
     scores = fix(shuffled.select("feature", "repeat", label, SCORE))
     areas = curve_areas(scores, ["feature", "repeat"], label)

@@ -18,6 +18,7 @@ MISSING_TOKENS = ["NaN", "nan", "?"]
 SENSOR_FILE, LABEL_FILE = "secom.data", "secom_labels.data"
 LABEL_LINE = r"^\s*([+-]?\d+)\s+(.*\S)\s*$"
 TIMESTAMP_FORMAT = "dd/MM/yyyy HH:mm:ss"
+NOT_BLANK = r"value RLIKE '\\S'"
 # Spellings a delimited file may use for a missing number.
 EVENT_MISSING_TOKENS = ["", "NaN", "nan", "NA", "N/A", "null", "NULL", "None", "?"]
 
@@ -28,7 +29,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.text(path)
         .select("value", *place, F.monotonically_increasing_id().alias("_at"))
-        .where(F.trim("value") != "")
+        .where(NOT_BLANK)
     )
 
 
@@ -54,14 +55,16 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 def parse_sensor_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
     """Split whitespace-separated values into ``sensor_000, sensor_001, ...``.
 
-    The width is that of the first line unless given; missing tokens become NULL, any other
-    text that is no number is an error.
+    The width is that of the first line unless given; shorter lines end in NULLs. Missing
+    tokens become NULL; any other text that is no number, and a longer line, are errors.
     """
-    parts = F.split(F.trim("value"), r"\s+")
+    parts = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
     if width is None:
         first = lines.select(F.size(parts)).first()
         width = first[0] if first else 0
-    tokens = lines.withColumn("_parts", parts)
+    too_long = F.raise_error(F.concat(F.lit(f"more than {width} values in line: "), "value"))
+    fitting = F.when(F.size(parts) <= width, parts).otherwise(too_long)
+    tokens = lines.withColumn("_parts", fitting)
     others = [c for c in lines.columns if c != "value"]
 
     def number(i: int):
@@ -72,7 +75,7 @@ def parse_sensor_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
 
 
 def read_sensor_matrix(spark: SparkSession, path: str) -> DataFrame:
-    return parse_sensor_lines(spark.read.text(path).where(F.trim("value") != ""))
+    return parse_sensor_lines(spark.read.text(path).where(NOT_BLANK))
 
 
 def parse_label_lines(lines: DataFrame) -> DataFrame:
@@ -92,7 +95,7 @@ def parse_label_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
-    return parse_label_lines(spark.read.text(path).where(F.trim("value") != ""))
+    return parse_label_lines(spark.read.text(path).where(NOT_BLANK))
 
 
 def assemble_samples(spark: SparkSession, sensor_path: str, label_path: str) -> DataFrame:

@@ -19,6 +19,15 @@ PUBLISHED = [
 ]
 
 
+# The same at threshold 0.5 and for the best F2 of the second model, to the digits published:
+# tp, fp, tn, fn and some of the rates.
+PUBLISHED_DIGITS = [
+    ((3, 38, 255, 18), {"accuracy": 0.821656, "precision": 0.073171, "recall": 0.142857, "f1": 0.096774}),
+    ((0, 0, 293, 21), {"accuracy": 0.933121, "precision": 0.0, "recall": 0.0, "f1": 0.0}),
+    ((9, 43, 250, 12), {"f2": 0.330882}),
+]
+
+
 def scored(spark):
     rows = [("m", 1, 0, 0.1), ("m", 2, 1, 0.8), ("m", 3, 0, 0.6), ("m", 4, 1, 0.4)]
     return spark.createDataFrame(rows, SCORED)
@@ -41,6 +50,13 @@ def test_published_rates(spark):
         assert found[expected[0]] == pytest.approx(expected[4:])
 
 
+@pytest.mark.parametrize(("counts", "expected"), PUBLISHED_DIGITS)
+def test_published_digits(spark, counts, expected):
+    df = spark.createDataFrame([counts], "tp long, fp long, tn long, fn long")
+    row = df.select(*[e.alias(n) for n, e in evaluate.rates().items()]).first()
+    assert {n: round(row[n], 6) for n in expected} == expected
+
+
 def test_counts_at_one_threshold(spark):
     row = evaluate.operating_point(evaluate.threshold_metrics(scored(spark))).first()
     assert (row.tp, row.fp, row.tn, row.fn) == (1, 1, 1, 1)

@@ -56,6 +56,10 @@ def test_bad_label_row(spark, tmp_path):
 def test_missing_tokens_and_bad_numbers(spark, tmp_path):
     df = readers.read_sensor_matrix(spark, write(tmp_path / "a", "? nan 1e3\n"))
     assert tuple(df.first()) == (None, None, 1000.0)
+    ragged = readers.read_sensor_matrix(spark, write(tmp_path / "r", "\t1.0\t2.0 \r\n \t\n3.0\n"))
+    assert sorted(tuple(r) for r in ragged.collect()) == [(1.0, 2.0), (3.0, None)]
+    with pytest.raises(Exception, match="more than 2 values"):
+        readers.read_sensor_matrix(spark, write(tmp_path / "d", "1.0 2.0\n1.0 2.0 3.0\n")).collect()
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         readers.read_sensor_matrix(spark, write(tmp_path / "c", "1.0 abc\n")).collect()
 
