@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabgauge.llm import chat, packing, sharding, token_files
+from fabgauge.llm import (
+    chat,
+    decontaminate,
+    languages,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+    token_files,
+    urls,
+)
 from fabgauge.llm.common import scratch, table
 from fabgauge.llm.tokens import default_tokenizer
 
@@ -93,3 +103,80 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select(*columns).unionByName(hostile)
     return chat.conversation_digests(chat.format_conversations(turns))
+
+
+def fold(number: int):
+    """Remainder of the CRC-32 of the id, as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(number))
+
+
+@query("op1_rank_order_language")
+def rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = languages.learn_profiles(docs.filter(fold(4) != 2))
+    return languages.identify_languages(
+        docs.select("doc_id", (fold(4) == 2).alias("held_out"), "text"), profiles
+    ).drop("text")
+
+
+@query("op9_nb_svm_quality")
+def nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(fold(3) != 1)
+    scored = quality.score_quality(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    return scored.select(
+        "doc_id",
+        (fold(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+URL_RULES = [
+    urls.Rule.parse(text)
+    for text in (
+        "allow org/",
+        "block example.org/es/",
+        "block example.org/en/1",
+        "allow com/fr/",
+        "block com/de/",
+    )
+]
+
+
+@query("op10_url_markov_ratio")
+def url_markov_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = urls.judge_urls(pages, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "ratio")
+
+
+NEIGHBOURS = 5
+NEIGHBOURS_SQL = f"""
+WITH vectors AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.id AS query_id, c.id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.id % 50 = 0 AND q.id <> c.id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scores
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= {NEIGHBOURS}
+"""
+
+
+@query("op8_cover_tree_neighbours", NEIGHBOURS_SQL)
+def cover_tree_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = neighbours.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return neighbours.top_inner_products(vectors, F.col("id") % 50 == 0, NEIGHBOURS)
+
+
+@query("op4_spaced_seed_leaks")
+def spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
