@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fabgauge.llm import (
     chat,
     decontaminate,
+    jaccard,
     languages,
     neighbours,
     packing,
@@ -180,3 +182,13 @@ def spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+
+
+@query("op3_token_group_join")
+def token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
