@@ -90,7 +90,7 @@ class Encoder:
         except KeyError:
             if len(self.cache) > self.limit:
                 self.cache.clear()
-            for word in set(words) - self.cache.keys():
+            for word in [w for w in set(words) if w not in self.cache]:
                 ids = self._word(word)
                 if ids is None:
                     return np.frombuffer(self._whole(text), self.dtype)
