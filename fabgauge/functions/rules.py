@@ -48,9 +48,9 @@ def recommended_action(is_constant: Column, ratio: Column) -> Column:
 
 
 def predicted_label(score: Column, threshold: float | Column) -> Column:
-    """1 from the threshold upwards, the threshold itself included."""
+    """1 from the threshold upwards, the threshold itself included; 0 without a score."""
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return (score >= limit).cast("int")
+    return F.coalesce(score >= limit, F.lit(False)).cast("int")
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:

@@ -62,10 +62,10 @@ def assert_constant_in_group(df: DataFrame, key: str, column: str) -> None:
 def label_violations(
     df: DataFrame, column: str = "label", allowed: Sequence[int] = (-1, 1)
 ) -> DataFrame:
-    """Non-null labels outside the allowed ones: ``label, row_count``."""
+    """Labels outside the allowed ones, missing ones included: ``label, row_count``."""
     value = F.col(column)
     return (
-        df.where(~value.isin(*allowed))
+        df.where(~F.coalesce(value.isin(*allowed), F.lit(False)))
         .groupBy(value.alias("label"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )

@@ -219,10 +219,10 @@ def false_negatives(
     label: str = LABEL,
     score: str = SCORE,
 ) -> DataFrame:
-    """Defects scored under the threshold, with the threshold they were missed at."""
+    """Defects scored under the threshold or not at all, with the threshold they were missed at."""
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     kind = threshold_type if isinstance(threshold_type, Column) else F.lit(threshold_type)
-    missed = scored.where((F.col(label) == 1) & (F.col(score) < limit))
+    missed = scored.where((F.col(label) == 1) & (predicted_label(F.col(score), limit) == 0))
     context = [c for c in ("timestamp", "label_original") if c in scored.columns]
     return missed.select(
         "model_name",

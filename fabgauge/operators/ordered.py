@@ -245,7 +245,7 @@ def _medians_in(values: DataFrame, group: Sequence[str], brackets: DataFrame) ->
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        entries.join(F.broadcast(middle), [*group, "_cell"])  # at most two rows per group
+        entries.join(middle, [*group, "_cell"])
         .withColumn("_to", F.sum("_c").over(upto) + F.col("_before"))
         .groupBy(*group, "n", "_lower", "_upper")
         .agg(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import sensor_columns
 from fabgauge.functions.rules import safe_ratio
-from fabgauge.session import small
+from fabgauge.session import fix
 
 MELT_BATCH = 64
 
@@ -60,16 +60,15 @@ def label_distribution(df: DataFrame, label: str = "label") -> DataFrame:
 def duplicate_rows(df: DataFrame, ignore: Sequence[str] = ("sample_id",)) -> DataFrame:
     """Number of rows equal to an earlier row: ``duplicate_row_count``.
 
-    First only a 64-bit hash per row is counted. If few hashes repeat, the rows that have one
-    are picked out by a broadcast join and compared column by column, so unequal rows with
-    one hash do not count. Otherwise all rows are grouped; equal ones combine before the
-    shuffle, however many there are.
+    First only a 64-bit hash per row is counted. The rows whose hash repeats are picked out and
+    compared column by column, so unequal rows with one hash do not count; equal ones combine
+    before the shuffle, however many there are.
     """
     columns = [c for c in df.columns if c not in ignore]
     hashed = df.select(*columns).withColumn("_hash", F.xxhash64(*columns))
     counted = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = small(counted.where("_n > 1").select("_hash"))
-    suspects = hashed if repeated is None else hashed.join(repeated, "_hash", "left_semi")
+    repeated = fix(counted.where("_n > 1").select("_hash"))
+    suspects = hashed.join(repeated, "_hash", "left_semi")
     groups = suspects.groupBy("_hash", *columns).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_row_count")

@@ -109,23 +109,21 @@ def duration_range(spark, folder):
     return rounded(events.duration_range(A.material_events(spark, folder)))
 
 
+_EVENT_TAX = "CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_tax END AS l_tax"
+
+
 @query(
     "event_duplicate_rows",
-    """WITH r AS (SELECT l_linenumber, l_returnflag, l_linestatus,
-      CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_tax END AS tax, l_discount FROM lineitem)
+    f"""WITH l AS (SELECT * REPLACE ({_EVENT_TAX}) FROM lineitem),
+    r AS (SELECT * FROM l UNION ALL SELECT * FROM l WHERE l_partkey % 50 = 0)
     SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_row_count
-    FROM (SELECT count(*) AS n FROM r
-      GROUP BY l_linenumber, l_returnflag, l_linestatus, tax, l_discount)""",
+    FROM (SELECT *, count(*) AS n FROM r GROUP BY ALL)""",
 )
 def event_duplicate_rows(spark, folder):
-    rows = A.table(spark, folder, "lineitem").selectExpr(
-        "l_linenumber",
-        "l_returnflag",
-        "l_linestatus",
-        "CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_tax END AS tax",
-        "l_discount",
+    lines = A.table(spark, folder, "lineitem").withColumn(
+        "l_tax", F.expr(_EVENT_TAX.removesuffix(" AS l_tax"))
     )
-    return events.event_duplicates(rows)
+    return events.event_duplicates(lines.unionAll(lines.where("l_partkey % 50 = 0")))
 
 
 @query("event_profile")

@@ -244,7 +244,7 @@ PROFILE = {
       UNION ALL SELECT 'false_negative_samples', * FROM test_rows
         WHERE sample_id IN (SELECT sample_id FROM missed)""",
     "long": f"SELECT group_name, feature, value FROM grouped UNPIVOT INCLUDE NULLS "
-    f"(value FOR feature IN ({', '.join(A.SENSORS[:12])}))",
+    f"(value FOR feature IN ({', '.join(A.SENSORS)}))",
 }
 PROFILE_SQL = """SELECT group_name, feature, avg(value) AS mean, median(value) AS median,
   stddev_samp(value) AS std, count(*) - count(value) AS missing_count,
@@ -260,7 +260,7 @@ def error_profile(spark, folder):
         rows.where("split = 'test'"),
         evaluate.top_risk_head(scored),
         evaluate.false_negatives(scored, 0.1, "fixed"),
-        A.SENSORS[:12],
+        A.SENSORS,
     )
 
 

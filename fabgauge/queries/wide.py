@@ -106,22 +106,18 @@ def dataset_profile(spark, folder):
     return rounded(profile.dataset_profile(A.sensor_wide(spark, folder)))
 
 
-_REPEATED = "o_orderkey AS sample_id, o_orderstatus, o_orderpriority, CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE o_custkey % 1000 END AS customer"
+_REPEATED = "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_custkey % 7 = 0"
 
 
 @query(
     "duplicate_rows",
-    f"""WITH r AS (SELECT {_REPEATED} FROM orders) SELECT (SELECT count(*) FROM r) - count(*)
-    AS duplicate_row_count FROM (SELECT DISTINCT o_orderstatus, o_orderpriority, customer FROM r)""",
+    f"""WITH r AS ({_REPEATED}) SELECT (SELECT count(*) FROM r) - count(*)
+    AS duplicate_row_count FROM (SELECT DISTINCT * EXCLUDE (o_orderkey) FROM r)""",
 )
 def duplicate_rows(spark, folder):
-    rows = A.table(spark, folder, "orders").selectExpr(
-        "o_orderkey AS sample_id",
-        "o_orderstatus",
-        "o_orderpriority",
-        "CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE o_custkey % 1000 END AS customer",
-    )
-    return profile.duplicate_rows(rows)
+    orders = A.table(spark, folder, "orders")
+    rows = orders.unionAll(orders.where("o_custkey % 7 = 0"))
+    return profile.duplicate_rows(rows, ignore=["o_orderkey"])
 
 
 @query(
@@ -359,7 +355,7 @@ def stamp_lineage(spark, folder):
     return master.stamp_lineage(rows.drop("day"))
 
 
-_FILLED = ["sensor_000", "sensor_003", "sensor_005"]
+_FILLED = A.SENSORS
 
 
 @query(
@@ -412,13 +408,13 @@ def _imputed_sql(columns: list[str]) -> str:
 @query(
     "median_impute",
     rounded_sql(
-        with_tables(MEDIANS, f"SELECT sample_id, split, {_imputed_sql(A.SENSORS[:16])} FROM parted"),
-        A.SENSORS[:16],
+        with_tables(MEDIANS, f"SELECT sample_id, split, {_imputed_sql(A.SENSORS)} FROM parted"),
+        A.SENSORS,
     ),
 )
 def median_impute(spark, folder):
-    rows = wide_split(spark, folder).select("sample_id", "split", *A.SENSORS[:16])
-    return rounded(impute.fill(rows, impute.fit_medians(rows, A.SENSORS[:16])))
+    rows = wide_split(spark, folder).select("sample_id", "split", *A.SENSORS)
+    return rounded(impute.fill(rows, impute.fit_medians(rows, A.SENSORS)))
 
 
 def _scaler_sql(column: str) -> str:
@@ -439,7 +435,7 @@ def scaler_params(spark, folder):
     return rounded(impute.scaler_params(train, A.SENSORS))
 
 
-_SCALED = A.SENSORS[:8]
+_SCALED = A.SENSORS
 
 
 @query(

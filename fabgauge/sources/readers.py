@@ -52,16 +52,23 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.join(starts, block).select(number.cast("long").alias("line_no"), "value")
 
 
+def _tokens():
+    return F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
+
+
 def parse_sensor_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
     """Split whitespace-separated values into ``sensor_000, sensor_001, ...``.
 
-    The width is that of the first line unless given; shorter lines end in NULLs. Missing
+    The width, unless given, is that of line 0 where lines are numbered and else that of the
+    longest line; shorter lines end in NULLs. Missing
     tokens become NULL; any other text that is no number, and a longer line, are errors.
     """
-    parts = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
+    parts = _tokens()
     if width is None:
-        first = lines.select(F.size(parts)).first()
-        width = first[0] if first else 0
+        size = F.size(parts)
+        if "line_no" in lines.columns:
+            size = F.when(F.col("line_no") == 0, size)
+        width = lines.agg(F.coalesce(F.max(size), F.lit(0))).first()[0]
     too_long = F.raise_error(F.concat(F.lit(f"more than {width} values in line: "), "value"))
     fitting = F.when(F.size(parts) <= width, parts).otherwise(too_long)
     tokens = lines.withColumn("_parts", fitting)
@@ -75,7 +82,9 @@ def parse_sensor_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
 
 
 def read_sensor_matrix(spark: SparkSession, path: str) -> DataFrame:
-    return parse_sensor_lines(spark.read.text(path).where(NOT_BLANK))
+    lines = _lines(spark, path)
+    first = lines.orderBy("file_path", "file_block_start", "_at").select(F.size(_tokens())).first()
+    return parse_sensor_lines(lines.select("value"), first[0] if first else 0)
 
 
 def parse_label_lines(lines: DataFrame) -> DataFrame:
@@ -128,7 +137,8 @@ def read_event_csv(
 
     Every column is read as text and typed here: ids as text, steps and flags as whole
     numbers, all else as double. The spellings of a missing number become NULL, never NaN;
-    other text in a number column becomes NULL as well.
+    other text in a number column becomes NULL as well. A step or flag that isn't whole is an
+    error, or NULL if ``check`` is off.
     """
     raw = spark.read.csv(path, header=True)
     require_columns(raw, EVENT_REQUIRED_COLUMNS, "Event table")
@@ -140,7 +150,12 @@ def read_event_csv(
             return known.alias(name)
         number = coerce_numeric(known)
         whole = {"StepID": "long", "target": "int", "is_test": "int"}.get(name)
-        return (number.cast(whole) if whole else number).alias(name)
+        if whole is None:
+            return number.alias(name)
+        broken = F.concat(F.lit(f"{name} holds a number that is not whole: "), text)
+        otherwise = F.raise_error(broken) if check else F.lit(None)
+        is_whole = number.isNull() | (number == F.floor(number))
+        return F.when(is_whole, number.cast(whole)).otherwise(otherwise.cast(whole)).alias(name)
 
     events = raw.select(*[typed(c) for c in raw.columns])
     if check:

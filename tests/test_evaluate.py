@@ -193,3 +193,16 @@ def test_summary_document(spark):
     sections = {"thresholds": summary.columns_as_items(metrics.agg(F.count(F.lit(1)).alias("n")), "totals")}
     row = summary.quality_summary(sections, "p", "d").first()
     assert row.thresholds[0].value == 38.0 and row.project_name == "p"
+
+
+def test_missing_scores_are_predicted_good_everywhere(spark):
+    rows = [(1, 1, 0.9), (2, 1, None), (3, 0, None), (4, 0, 0.1)]
+    scored = spark.createDataFrame(rows, "sample_id long, label_binary int, defect_probability double")
+    scored = scored.selectExpr("'m' AS model_name", "*")
+    counts = evaluate.confusion_matrix(scored).first()
+    assert (counts.tp, counts.fp, counts.tn, counts.fn) == (1, 0, 2, 1)
+    grid = evaluate.threshold_metrics(scored)
+    at_half = grid.where("abs(threshold - 0.5) < 1e-9").first()
+    assert (at_half.tp, at_half.fp, at_half.tn, at_half.fn) == (1, 0, 2, 1)
+    missed = evaluate.false_negatives(scored, 0.5, "default")
+    assert [r.sample_id for r in missed.collect()] == [2]

@@ -5,7 +5,7 @@ import json
 
 import pytest
 
-from fabgauge.operators import models
+from fabgauge.operators import contracts, models
 from fabgauge.sources import catalog, readers, sinks
 from tests.test_events import EVENTS, fixture_master, raw
 
@@ -155,3 +155,25 @@ def test_inventory(spark, tmp_path):
         frame(spark, entry(), entry(dataset_id="z")), catalog.source_inventory(spark, str(tmp_path))
     )
     assert {r.dataset_id: r.size_bytes for r in joined.collect()} == {"a": 3, "z": None}
+
+
+def test_width_of_files_with_unequal_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("1 2 3\n")
+    (tmp_path / "b.txt").write_text("4 5\n" * 50)
+    found = readers.read_sensor_matrix(spark, str(tmp_path))
+    assert found.columns == ["sensor_000", "sensor_001", "sensor_002"]
+    assert found.where("sensor_002 IS NULL").count() == 50
+
+
+def test_flags_that_are_not_whole_are_refused(spark, tmp_path):
+    path = tmp_path / "events.csv"
+    path.write_text("MaterialID,StepID,duration_ms,f,target,is_test\na,1,1,1,0.5,0\nb,1.0,1,1,1.0,0\n")
+    with pytest.raises(Exception, match="target holds a number that is not whole"):
+        readers.read_event_csv(spark, str(path))
+    loose = readers.read_event_csv(spark, str(path), check=False)
+    assert {r.MaterialID: r.target for r in loose.collect()} == {"a": None, "b": 1}
+
+
+def test_a_missing_label_is_a_violation(spark):
+    rows = spark.createDataFrame([(1,), (None,), (-1,)], "label int")
+    assert [(r.label, r.row_count) for r in contracts.label_violations(rows).collect()] == [(None, 1)]
