@@ -28,13 +28,20 @@ from fabgauge.llm.components import components
 # Two documents link if 100 * common >= PERCENT * union.
 PERCENT, WORDS = 75, 5
 # Bands of minimum hashes for the first groups; they speed the join up and decide nothing.
-BANDS, BAND_ROWS = 4, 3
-# Documents whose tokens show which are common, and how many of them must hold a common token.
+BANDS, BAND_ROWS = 6, 2
+# Documents whose tokens show which are very common, and how many of them must hold such a token.
 SAMPLE, COMMON = 8000, 8
+# A token in more than so many documents is common. Tokens are counted in all documents as far as they
+# are in the first part of the hash range, from which deciding tokens are taken; the
+# result is kept as a filter of bounded size.
+RARE, COUNTED, COMMON_BITS = 4, 0.4, 1 << 25
 # Tokens in a cell of an opened group, and documents compared with a cell in one task.
 CELL_TOKENS, CELL_QUERIES = 100_000, 256
 # Bits of the filter by which texts are read again: a bounded size, whatever the number of ids.
 FILTER_BITS = 1 << 23
+# Ratio between size classes, a little over 100 / PERCENT, and factor by which a group's smallest and
+# largest class are written as one number.
+SIZE_STEP, SPAN = 1.34, 256
 # Postings that a task turns into distinct entries of the matrix at a time.
 POSTINGS = 2_000_000
 
@@ -75,13 +82,22 @@ def linked(one: np.ndarray, other: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (small + large - both)
 
 
-def deciding(tokens: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """The first tokens of a set, rarest first, of which two linked sets must share one."""
+def deciding(
+    tokens: np.ndarray, common: np.ndarray, often: np.ndarray, marked: np.ndarray
+) -> np.ndarray:
+    """The first tokens of a set, rarest first, of which two linked sets must share one.
+
+    The order is by rarity class, then hash. It is the same for all documents, which is all that
+    matters for finding every link; a rare token that the filter takes for common only comes later.
+    """
     size = len(tokens) - -(-PERCENT * len(tokens) // 100) + 1
-    if not len(common) or not len(tokens):
-        return tokens[:size]
-    at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-    count = np.where(common[at] == tokens, often[at], 0)
+    if not len(tokens):
+        return tokens
+    bit = (tokens & np.uint64(COMMON_BITS - 1)).astype(np.int64)
+    count = ((marked[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
+        count = np.where(common[at] == tokens, often[at], count)
     return tokens[np.argsort(count, kind="stable")[:size]]
 
 
@@ -132,13 +148,81 @@ def common_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], found.column("n").to_numpy()[order]
 
 
+def common_filter(docs: DataFrame) -> np.ndarray:
+    """Bits of COMMON_BITS, set where a counted token is in more than RARE documents."""
+    spark = docs.sparkSession
+    parts = 4 * partitions(spark)
+    first = np.uint64(int(COUNTED * 2**64))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            tokens = np.concatenate(held)
+            held.clear()
+            part = ((tokens >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            low = (tokens & np.uint64(2**32 - 1)).astype("<u4")[order]
+            ends = np.cumsum(np.bincount(part, minlength=parts))
+            blobs = [x.tobytes() for x in np.split(low, ends[:-1])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(parts, dtype=np.int32)), pa.array(blobs, pa.binary())],
+                names=["part", "tokens"],
+            )
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                for text in batch.column("text").slice(at, SLICE).to_pylist():
+                    tokens = shingles(text)
+                    held.append(tokens[: np.searchsorted(tokens, first)])
+                if sum(map(len, held)) >= POSTINGS:
+                    yield flush()
+        if held:
+            yield flush()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+
+        def marks() -> pa.RecordBatch:
+            tokens, counts = sorted_unique(np.frombuffer(b"".join(held), "<u4"))
+            held.clear()
+            bits = np.unique(tokens[counts > RARE] & np.uint32(COMMON_BITS - 1)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(bits)], names=["bit"])
+
+        for batch in batches:
+            for key, blob in zip(batch.column("part").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
+                if key != part and held:
+                    yield marks()
+                part = key
+                held.append(blob)
+        if held:
+            yield marks()
+
+    bits = (
+        docs.select("text")
+        .mapInArrow(split, "part int, tokens binary")
+        .repartition(parts, "part")
+        .sortWithinPartitions("part")
+        .mapInArrow(count, "bit long")
+    )
+    # At most COMMON_BITS / 64 rows.
+    words = (
+        bits.groupBy(F.shiftright("bit", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    marked = np.zeros(COMMON_BITS // 64, np.int64)
+    marked[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return marked.view(np.uint8)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n (set size), sign (digest of the set, null if empty), band_0.., deciding tokens and
     histogram of every row with an id."""
-    known = docs.sparkSession.sparkContext.broadcast(common_tokens(docs))
+    known = docs.sparkSession.sparkContext.broadcast((*common_tokens(docs), common_filter(docs)))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, often = known.value
+        common, often, marked = known.value
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE)
@@ -155,7 +239,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     ]
                     sign = xxhash.xxh3_128_digest(tokens.tobytes())
                     rows.append(
-                        (sign, *bands, deciding(tokens, common, often).tobytes(), histogram(tokens).tobytes())
+                        (sign, *bands, deciding(tokens, common, often, marked).tobytes(), histogram(tokens).tobytes())
                     )
                 columns = list(zip(*rows, strict=True))
                 kinds = [pa.binary(), *[pa.int64()] * BANDS, pa.binary(), pa.binary()]
@@ -248,25 +332,30 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct (token, group) of the deciding tokens of a task's documents."""
-    tokens, groups, held = [], [], 0
+    """Distinct (token, group, sizes) of the deciding tokens of a task's documents."""
+    tokens, groups, spans, held = [], [], [], 0
 
     def flush() -> pa.RecordBatch:
         nonlocal held
-        t, g = np.concatenate(tokens), np.concatenate(groups)
-        tokens.clear()
-        groups.clear()
+        t, g, s = np.concatenate(tokens), np.concatenate(groups), np.concatenate(spans)
+        for each in (tokens, groups, spans):
+            each.clear()
         held = 0
         order = np.lexsort((g, t))
-        t, g = t[order], g[order]
+        t, g, s = t[order], g[order], s[order]
         new = np.concatenate(([True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])))
-        return pa.RecordBatch.from_arrays([pa.array(t[new].view(np.int64)), pa.array(g[new])], names=["token", "cell"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(t[new].view(np.int64)), pa.array(g[new]), pa.array(s[new])],
+            names=["token", "cell", "span"],
+        )
 
     for batch in batches:
-        for group, packed in zip(batch.column("cell").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("cell", "span", "tokens")]
+        for group, span, packed in zip(*columns, strict=True):
             mine = np.frombuffer(packed, np.uint64)
             tokens.append(mine)
             groups.append(np.full(len(mine), group, np.int64))
+            spans.append(np.full(len(mine), span, np.int32))
             held += len(mine)
             if held >= POSTINGS:
                 yield flush()
@@ -275,10 +364,11 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token: pairs of groups that share one."""
-    rest_t, rest_g = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """Rows sorted by token: pairs of groups that share one and have sets of similar size."""
+    rest = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
 
-    def paired(t: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
+    def paired(t: np.ndarray, g: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+        least, most = s // SPAN, s % SPAN
         first, last = [], []
         far = 1
         # Neighbours at distance 1, 2, ... within runs of one token.
@@ -287,7 +377,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(same):
                 break
             one, two = g[same], g[same + far]
-            differ = one != two
+            close = (least[same] <= most[same + far] + 1) & (least[same + far] <= most[same] + 1)
+            differ = (one != two) & close
             first.append(np.minimum(one, two)[differ])
             last.append(np.maximum(one, two)[differ])
             far += 1
@@ -296,15 +387,16 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["one", "two"])
 
     for batch in batches:
-        t = np.concatenate([rest_t, batch.column("token").to_numpy(zero_copy_only=False)])
-        g = np.concatenate([rest_g, batch.column("cell").to_numpy(zero_copy_only=False)])
+        t, g, s = (
+            np.concatenate([old, batch.column(c).to_numpy(zero_copy_only=False)])
+            for old, c in zip(rest, ("token", "cell", "span"), strict=True)
+        )
         whole = np.searchsorted(t, t[-1]) if len(t) else 0
-        rest_t, rest_g = t[whole:], g[whole:]
+        rest = (t[whole:], g[whole:], s[whole:])
         if whole:
-            yield paired(t[:whole], g[:whole])
-    if len(rest_t):
-        yield paired(rest_t, rest_g)
-
+            yield paired(t[:whole], g[:whole], s[:whole])
+    if len(rest[0]):
+        yield paired(*rest)
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -340,18 +432,6 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         classes.select("id", "n").join(grouped, "id", "left").withColumn("cell", F.coalesce("cell", "id")),
         "nodes",
     )
-    matrix = (
-        full.select(F.col("doc_id").alias("id"), "tokens")
-        .join(nodes.select("id", "cell"), "id")
-        .select("cell", "tokens")
-        .mapInArrow(_entries, "token long, cell long")
-    )
-    pairs = (
-        matrix.repartition(4 * partitions(docs.sparkSession), "token")
-        .sortWithinPartitions("token")
-        .mapInArrow(_pairs, "one long, two long")
-        .distinct()
-    )
     sizes = stored(
         nodes.groupBy("cell").agg(
             F.count(F.lit(1)).alias("size"),
@@ -361,6 +441,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         ),
         "groups",
     )
+    # Linked sets are in the same or neighbouring size classes.
+    size_class = lambda c: F.floor(F.log(F.col(c).cast("double")) / F.log(F.lit(SIZE_STEP)))
+    span = (size_class("least") * SPAN + size_class("most")).cast("int")
+    matrix = (
+        full.select(F.col("doc_id").alias("id"), "tokens")
+        .join(nodes.join(sizes.select("cell", span.alias("span")), "cell").select("id", "cell", "span"), "id")
+        .select("cell", "span", "tokens")
+        .mapInArrow(_entries, "token long, cell long, span int")
+    )
+    pairs = (
+        matrix.repartition(4 * partitions(docs.sparkSession), "token")
+        .sortWithinPartitions("token")
+        .mapInArrow(_pairs, "one long, two long")
+        .distinct()
+    )
     side = lambda name: sizes.select(
         F.col("cell").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in sizes.columns[1:]]
     )
