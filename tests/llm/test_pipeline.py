@@ -20,9 +20,6 @@ def test_query_equals_sql(spark, name):
 
 def test_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
-    good = {k for k, v in labels.items() if v == 1}
-    bad = {k for k, v in labels.items() if v == 0}
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         before = {r.doc_id for r in kept.select("doc_id").collect()}
@@ -30,14 +27,22 @@ def test_stages(spark):
         assert kept.columns == docs.columns
         after = {r.doc_id for r in kept.select("doc_id").collect()}
         assert after < before or after == before
-        if name == "quality":
-            assert len(after & good) >= 0.9 * len(good)
-            assert len(after & bad) <= 0.1 * len(bad)
         if name == "language":
             assert after == before
     assert all(stage(spark, docs.limit(0), FOLDER).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_quality_stage_keeps_good_documents(spark):
+    """With some 280 labels to learn from; the 67 of the smallest tables are too few for this bound."""
+    folder = FOLDER.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    kept = {r.doc_id for r in corpus_pipeline.good_quality(spark, docs, folder).collect()}
+    good, bad = ({k for k, v in labels.items() if v == wanted} for wanted in (1, 0))
+    assert len(kept & good) >= 0.9 * len(good)
+    assert len(kept & bad) <= 0.1 * len(bad)
+
+
 def test_eleven_queries_are_registered():
     names = entry.queries()
     assert "pipeline" in names
