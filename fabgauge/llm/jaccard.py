@@ -49,8 +49,9 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BANDS = np.random.default_rng(7).integers(1, 2**63, BANDS * BAND_ROWS, np.uint64) | np.uint64(1)
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a whole text (A-Z lower-cased)."""
+def shingles(text: str | None, below: np.uint64 | None = None) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a whole text (A-Z lower-cased); only those under
+    ``below`` if that is given."""
     words = (text or "").encode().lower().split()
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if not words:
@@ -61,7 +62,8 @@ def shingles(text: str | None) -> np.ndarray:
     for k in range(width):
         code = (code ^ hashes[k : k + count]) * _MIX
         code ^= code >> np.uint64(29)
-    return np.unique(code)
+    code = np.sort(code if below is None else code[code < below])
+    return code[np.concatenate(([True], code[1:] != code[:-1]))] if len(code) else code
 
 
 def common_count(one: np.ndarray, other: np.ndarray) -> int:
@@ -98,6 +100,8 @@ def deciding(
     if len(common):
         at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
         count = np.where(common[at] == tokens, often[at], count)
+    # 16 bits are sorted by digits; the sample holds far fewer documents than they can count.
+    count = np.minimum(count, 2**16 - 1).astype(np.uint16)
     return tokens[np.argsort(count, kind="stable")[:size]]
 
 
@@ -173,8 +177,7 @@ def common_filter(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 for text in batch.column("text").slice(at, SLICE).to_pylist():
-                    tokens = shingles(text)
-                    held.append(tokens[: np.searchsorted(tokens, first)])
+                    held.append(shingles(text, first))
                 if sum(map(len, held)) >= POSTINGS:
                     yield flush()
         if held:
