@@ -26,37 +26,29 @@ MATERIAL_LINEAGE = {
 STATISTICS = ["mean", "std", "min", "max"]
 # Aggregates per grouping that Spark still turns into code the JVM compiles well.
 AGGREGATES_PER_GROUPING = 60
-# More steps than this are averaged per material and step first and then turned.
-STEPS_IN_PLACE = 40
 
 
 def _known(df: DataFrame) -> DataFrame:
     return df.where(F.col("MaterialID").isNotNull())
 
 
-def observed_steps(df: DataFrame) -> list:
-    """Sorted distinct steps. They become columns, so they must fit a schema."""
-    rows = df.select("StepID").where("StepID IS NOT NULL").distinct().collect()
-    return sorted(r.StepID for r in rows)
-
+def distinct_steps(df: DataFrame) -> DataFrame:
+    """The distinct steps in order: ``StepID``."""
+    return df.select("StepID").where("StepID IS NOT NULL").distinct().orderBy("StepID")
 
-def has_step(step: object) -> Column:
-    return F.coalesce(F.bool_or(F.col("StepID") == F.lit(step)), F.lit(False))
 
+def observed_steps(df: DataFrame) -> list:
+    """Sorted distinct steps on the driver. They become columns, so they must fit a schema."""
+    return [r.StepID for r in distinct_steps(df).collect()]
 
-def base_aggregates(steps: Sequence) -> list[Column]:
-    """Label, split, record and step counts. Label and split are constant per material.
 
-    Steps are counted over the known list, which keeps the grouping a plain hash aggregate;
-    a distinct count or a collected set would not combine as cheaply before the shuffle.
-    """
-    seen = [has_step(s).cast("long") for s in steps]
+def base_aggregates() -> list[Column]:
+    """Label, split and record count. Label and split are constant per material."""
     return [
         F.max("target").cast("int").alias("label_original"),
         F.max("target").cast("int").alias("label_binary"),
         official_split(F.max("is_test")).alias("official_split"),
         F.count(F.lit(1)).alias("source_record_count"),
-        sum(seen, F.lit(0).cast("long")).alias("step_count"),
     ]
 
 
@@ -87,16 +79,29 @@ def step_column(feature: str, step: object) -> str:
     return f"{feature}_step_{step}_mean"
 
 
-def step_aggregates(features: Sequence[str], steps: Sequence) -> list[Column]:
-    return [
-        F.avg(F.when(F.col("StepID") == F.lit(s), F.col(f))).alias(step_column(f, s))
-        for f in features
-        for s in steps
-    ]
+def _by_step(df: DataFrame, aggregates: Sequence[Column]) -> DataFrame:
+    """One row per material and step; steps stay rows, however many there are."""
+    return _known(df).groupBy(F.col("MaterialID").alias("material_id"), "StepID").agg(*aggregates)
+
+
+def _steps_by_material(df: DataFrame) -> DataFrame:
+    """Base columns, the list of steps and the duration range, merged from the rows per step."""
+    flags = [F.max(c).alias(c) for c in ("target", "is_test")]
+    ends = [statistic("duration_ms", s) for s in ("min", "max")]
+    per_step = _by_step(df, [*flags, F.count(F.lit(1)).alias("_records"), *ends])
+    return per_step.groupBy("material_id").agg(
+        *base_aggregates()[:-1],
+        F.sum("_records").alias("source_record_count"),
+        F.count("StepID").alias("step_count"),
+        F.sort_array(F.collect_list("StepID")).alias("observed_step_ids"),
+        F.min("duration_ms_min").alias("duration_ms_min"),
+        F.max("duration_ms_max").alias("duration_ms_max"),
+    )
 
 
 def material_base(df: DataFrame) -> DataFrame:
-    return _by_material(df, base_aggregates(observed_steps(df)))
+    """Label, split, records and distinct steps per material."""
+    return _steps_by_material(df).drop("observed_step_ids", "duration_ms_min", "duration_ms_max")
 
 
 def material_duration_stats(df: DataFrame) -> DataFrame:
@@ -132,16 +137,11 @@ def _by_material_packed(df: DataFrame, blocks: Sequence[Sequence[Column]]) -> Da
 def step_means(df: DataFrame, features: Sequence[str], steps: Sequence) -> DataFrame:
     """One column per feature and step with the mean; no value where a step did not occur.
 
-    Few steps are averaged conditionally. Many go through a mean per material and step
-    first, which is then turned once with the known list of steps.
+    Means are taken per material and step and then turned with the known list of steps.
     """
-    if len(steps) <= STEPS_IN_PLACE:
-        return _by_material_packed(df, [step_aggregates([f], steps) for f in features])
-    per_step = (
-        _known(df)
-        .groupBy(F.col("MaterialID").alias("material_id"), "StepID")
-        .agg(*[F.avg(f).alias(f) for f in features])
-    )
+    if not features or not steps:
+        return _known(df).select(F.col("MaterialID").alias("material_id")).distinct()
+    per_step = _by_step(df, [F.avg(f).alias(f) for f in features])
     turned = per_step.groupBy("material_id").pivot("StepID", list(steps))
     wide = turned.agg(*[F.first(f).alias(f) for f in features])
     # Spark names a pivoted column by its step alone when there is one aggregate.
@@ -161,18 +161,17 @@ def material_master(
 ) -> DataFrame:
     """One row per material: metadata first, then duration, feature and step columns.
 
-    A few features take one grouping, more of them several over the same rows, so give it a
-    columnar table.
+    The rows are read once for the steps, once for their means and once per grouping of
+    feature statistics, so give it a columnar table.
     """
     require_columns(df, EVENT_REQUIRED_COLUMNS, "Event table")
     features = event_features(df)
     steps = observed_steps(df) if steps is None else list(steps)
-    in_place = steps if len(steps) <= STEPS_IN_PLACE else []
-    blocks = [[*base_aggregates(steps), *duration_aggregates()]]
-    blocks += [[*feature_aggregates([f]), *step_aggregates([f], in_place)] for f in features]
-    master = _by_material_packed(df, blocks)
-    if features and len(steps) > STEPS_IN_PLACE:
-        master = master.join(step_means(df, features, steps), "material_id")
+    blocks = [[*base_aggregates(), *duration_aggregates()]]
+    blocks += [feature_aggregates([f]) for f in features]
+    counts = material_base(df).select("material_id", "step_count")
+    master = _by_material_packed(df, blocks).join(counts, "material_id")
+    master = master.join(step_means(df, features, steps), "material_id")
     master = master.withColumns(
         {
             "dataset_id": F.lit(dataset_id),
@@ -189,14 +188,9 @@ def material_master(
     )
 
 
-def sequence_manifest(
-    df: DataFrame, dataset_id: str, raw_event_file_path: str, steps: Sequence | None = None
-) -> DataFrame:
+def sequence_manifest(df: DataFrame, dataset_id: str, raw_event_file_path: str) -> DataFrame:
     """One row per material with its sorted list of distinct steps."""
-    steps = observed_steps(df) if steps is None else list(steps)
-    own = F.array_compact(F.array(*[F.when(has_step(s), F.lit(s)) for s in steps]))
-    ends = [statistic("duration_ms", s) for s in ("min", "max")]
-    manifest = _by_material(df, [*base_aggregates(steps), own.alias("observed_step_ids"), *ends])
+    manifest = _steps_by_material(df)
     return manifest.select(
         F.lit(dataset_id).alias("dataset_id"),
         *manifest.columns,

@@ -44,6 +44,8 @@ EVENT_COLUMNS = [
     "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 0 END AS is_test",
 ]
 EVENTS_SQL = f"SELECT {', '.join(EVENT_COLUMNS)} FROM lineitem"
+# Up to 1,500 steps, the same events.
+MANY_STEP_EVENTS_SQL = EVENTS_SQL.replace(EVENT_COLUMNS[1], "l_partkey % 1500 AS StepID")
 ONE_CLASS_EVENTS_SQL = (
     "SELECT * REPLACE (CASE WHEN is_test = 1 THEN target ELSE 0 END AS target) "
     f"FROM ({EVENTS_SQL})"
@@ -121,6 +123,10 @@ def material_events(spark: SparkSession, folder: str) -> DataFrame:
     return _view(spark, folder, "lineitem", EVENTS_SQL)
 
 
+def many_step_events(spark: SparkSession, folder: str) -> DataFrame:
+    return _view(spark, folder, "lineitem", MANY_STEP_EVENTS_SQL)
+
+
 def one_class_events(spark: SparkSession, folder: str) -> DataFrame:
     events = material_events(spark, folder)
     return events.withColumn("target", F.expr("CASE WHEN is_test = 1 THEN target ELSE 0 END"))

@@ -369,31 +369,34 @@ def material_master_d2(spark, folder):
     return rounded(d2_master(spark, folder))
 
 
-@query(
-    "sequence_manifest",
-    rounded_sql(
-        with_tables(
-            EVENTS,
-            f"""SELECT 'd1' AS dataset_id, MaterialID AS material_id,
-            {', '.join(_parts()['base'])}, min(duration_ms) AS duration_ms_min,
-            max(duration_ms) AS duration_ms_max,
-            CAST(to_json(list_sort(list(DISTINCT StepID))) AS VARCHAR) AS observed_step_ids_json,
-            'lineitem.parquet' AS raw_event_file_path, TRUE AS sequence_available
-            FROM e GROUP BY MaterialID""",
-        ),
-        ["duration_ms_min", "duration_ms_max"],
-    ),
-)
-def sequence_manifest(spark, folder):
-    rows = A.material_events(spark, folder)
+def _manifest_sql(source: dict[str, str]) -> str:
+    sql = f"""SELECT 'd1' AS dataset_id, MaterialID AS material_id,
+      {', '.join(_parts()['base'])}, min(duration_ms) AS duration_ms_min,
+      max(duration_ms) AS duration_ms_max,
+      CAST(to_json(list_sort(list(DISTINCT StepID))) AS VARCHAR) AS observed_step_ids_json,
+      'lineitem.parquet' AS raw_event_file_path, TRUE AS sequence_available
+      FROM e GROUP BY MaterialID"""
+    return rounded_sql(with_tables(source, sql), ["duration_ms_min", "duration_ms_max"])
+
+
+def _manifest(rows):
     manifest = materials.sequence_manifest(rows, "d1", "lineitem.parquet")
     return rounded(manifest.drop("observed_step_ids"))
 
 
+@query("sequence_manifest", _manifest_sql(EVENTS))
+def sequence_manifest(spark, folder):
+    return _manifest(A.material_events(spark, folder))
+
+
+@query("sequence_manifest_many_steps", _manifest_sql({"e": A.MANY_STEP_EVENTS_SQL}))
+def sequence_manifest_many_steps(spark, folder):
+    return _manifest(A.many_step_events(spark, folder))
+
+
 @query("observed_steps", with_tables(EVENTS, "SELECT DISTINCT StepID FROM e ORDER BY StepID"))
 def observed_steps(spark, folder):
-    rows = A.material_events(spark, folder)
-    return rows.select("StepID").where("StepID IS NOT NULL").distinct().orderBy("StepID")
+    return materials.distinct_steps(A.material_events(spark, folder))
 
 
 def _metadata_sql(name: str, events_sql: str, feature_count: int, step_count: int) -> str:

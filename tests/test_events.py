@@ -55,10 +55,9 @@ def test_column_count_identity(spark, features, steps, columns):
     assert master.count() == 5
 
 
-def test_many_steps_give_the_same_means(spark, monkeypatch):
+def test_more_groupings_give_the_same_master(spark, monkeypatch):
     df = raw(spark)
     few = materials.material_master(df, "d1", "m")
-    monkeypatch.setattr(materials, "STEPS_IN_PLACE", 0)
     monkeypatch.setattr(materials, "AGGREGATES_PER_GROUPING", 8)
     many = materials.material_master(df, "d1", "m")
     assert many.columns == few.columns
@@ -80,6 +79,18 @@ def test_rows_without_material_are_left_out_of_the_master(spark):
     assert events.material_count(df).first().unique_material_id_count == 3
 
 
+def test_thousands_of_steps_stay_rows(spark):
+    df = spark.range(9000).selectExpr(
+        "id % 2 AS MaterialID", "CAST(id % 3000 AS INT) AS StepID", "1.0D AS duration_ms",
+        "0 AS target", "0 AS is_test",
+    )
+    base = materials.material_base(df).collect()
+    assert [(r.step_count, r.source_record_count) for r in base] == [(1500, 4500)] * 2
+    manifest = materials.sequence_manifest(df, "d", "f").collect()
+    lists = {r.material_id: r.observed_step_ids for r in manifest}
+    assert lists == {0: list(range(0, 3000, 2)), 1: list(range(1, 3000, 2))}
+
+
 def test_manifest(spark):
     rows = {r.material_id: r for r in materials.sequence_manifest(raw(spark), "d1", "D1.csv").collect()}
     assert rows["A"].observed_step_ids == [1, 2]
