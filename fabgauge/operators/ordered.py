@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fabgauge.session import pin
 
@@ -23,6 +26,8 @@ SMALL_PIECES = 256
 # Half width of the percentile bracket kept around a median, and its sketch accuracy.
 MEDIAN_MARGIN = 0.005
 SKETCH_ACCURACY = 2000
+# Bytes of a text, after the beginning that all texts share, that fit a positive long.
+TEXT_BYTES = 7
 
 
 @dataclass(frozen=True)
@@ -53,13 +58,34 @@ def cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, Cuts]:
     return {c: Cuts(tuple(sorted(set(row[c] or []))), pieces) for c in columns}
 
 
-def _place(column: str, values: Sequence[float | int]) -> Column:
+def order_number(df: DataFrame, column: str) -> tuple[Column, bool]:
+    """A number that never falls as the value grows, and whether it tells all values apart."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(column), True
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column), True
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column), True
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        ends = df.agg(F.min(column), F.max(column)).first()
+        raw = [e.encode() if isinstance(e, str) else bytes(e or b"") for e in ends]
+        start = len(commonprefix(raw)) + 1
+        part = f"substring(cast(`{column}` AS binary), {start}, {TEXT_BYTES})"
+        number = f"conv(hex(rpad({part}, {TEXT_BYTES}, X'00')), 16, 10)"
+        return F.expr(f"cast({number} AS long)"), False
+    raise TypeError(f"rows can't be ranked by {column} of type {kind.simpleString()}")
+
+
+def _place(column: str, values: Sequence[float | int | Decimal]) -> Column:
     """``2k + 1`` for exactly the cut value k, ``2k`` for the open interval below it.
 
     The search is a balanced tree of comparisons inside generated code.
     """
 
-    def literal(value: float | int) -> str:
+    def literal(value: float | int | Decimal) -> str:
+        if isinstance(value, Decimal):
+            return f"{value:f}BD"
         return f"DOUBLE('{value!r}')" if isinstance(value, float) else f"{value}L"
 
     def search(low: int, high: int) -> str:
@@ -126,17 +152,25 @@ def with_rank(
     """Add the 1-based position of each row in its group by ``key``, then ``tie`` ascending.
 
     NULL keys come last. A key value shared by many rows gets a cell of its own, which is cut
-    again by ``tie``, so one repeated value does not end up in one task.
+    again by ``tie``, so one repeated value does not end up in one task. Keys and ties are
+    numbers, dates, timestamps or texts (in byte order); a text key shared by many rows is not
+    cut again. Other types raise a TypeError.
     """
-    cuts = cut_points(df, [key, tie])
-    placed = with_cell(with_cell(df, key, cuts[key], "_cell"), tie, cuts[tie], "_tie_cell")
-    cell, last = F.col("_cell"), (2 * len(cuts[key].values) + 1) * cuts[key].pieces
+    (key_number, exact), (tie_number, _) = order_number(df, key), order_number(df, tie)
+    numbers = df.withColumns({"_key": key_number, "_tie": tie_number})
+    cuts = cut_points(numbers, ["_key", "_tie"])
+    placed = with_cell(numbers, "_key", cuts["_key"], "_cell")
+    placed = with_cell(placed, "_tie", cuts["_tie"], "_tie_cell")
+    cell, last = F.col("_cell"), (2 * len(cuts["_key"].values) + 1) * cuts["_key"].pieces
+    single = F.col("_cell_single") if exact else F.col("_key").isNull()
     placed = placed.withColumns(
         {
-            "_cell": -cell if descending else F.when(cell == -1, last).otherwise(cell),
-            "_tie_cell": F.when(F.col("_cell_single"), F.col("_tie_cell")).otherwise(0),
+            "_cell": F.when(cell == -1, last if not descending else 1).otherwise(
+                -cell if descending else cell
+            ),
+            "_tie_cell": F.when(single, F.col("_tie_cell")).otherwise(0),
         }
-    ).drop("_cell_single", "_tie_cell_single")
+    ).drop("_cell_single", "_tie_cell_single", "_key", "_tie")
     keys = ["_cell", "_tie_cell"]
     offsets = cell_offsets(placed, group, keys, {"_before": F.count(F.lit(1))})
     order = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()

@@ -296,6 +296,24 @@ def top_risk_samples(spark, folder):
     return rounded(evaluate.top_risk_samples(A.scored(spark, folder)))
 
 
+@query(
+    "top_risk_materials",
+    rounded_sql(
+        with_tables(
+            SCORED,
+            """SELECT * EXCLUDE (sample_id), CAST(sample_id AS VARCHAR) AS material_id,
+            row_number() OVER (PARTITION BY model_name
+              ORDER BY defect_probability DESC, CAST(sample_id AS VARCHAR)) AS rank FROM s""",
+        ),
+        ["defect_probability"],
+    ),
+)
+def top_risk_materials(spark, folder):
+    """Ranks of materials, whose ids are texts."""
+    named = A.scored(spark, folder).withColumn("material_id", F.col("sample_id").cast("string"))
+    return rounded(evaluate.top_risk_samples(named.drop("sample_id"), key="material_id"))
+
+
 @query(
     "top_n_risk_ids",
     with_tables(RANKED, "SELECT DISTINCT sample_id FROM ranked WHERE rank <= 30"),

@@ -39,6 +39,35 @@ def test_rank_equals_plain_window(spark, descending):
     assert both.where("rank <> expected").count() == 0
 
 
+TEXT_ID = "concat('M-', CAST(sample_id AS string))"
+
+
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize(
+    ("key", "tie"),
+    [
+        ("defect_probability", TEXT_ID),
+        ("CAST(defect_probability AS DECIMAL(9, 4))", "CAST(sample_id AS DECIMAL(20, 2))"),
+        ("date_add(DATE'2020-01-01', CAST(defect_probability * 9 AS int))", TEXT_ID),
+        ("timestamp_seconds(defect_probability * 100)", "date_add(DATE'1900-01-01', CAST(sample_id AS int))"),
+        (TEXT_ID, TEXT_ID),
+    ],
+)
+def test_ranks_of_other_types_equal_plain_window(spark, key, tie, descending):
+    rows = skewed_scores(spark).selectExpr("model_name", f"{key} AS k", f"{tie} AS t")
+    order = F.col("k").desc_nulls_last() if descending else F.col("k").asc_nulls_last()
+    plain = Window.partitionBy("model_name").orderBy(order, "t")
+    ranked = ordered.with_rank(rows, ["model_name"], "k", "t", descending)
+    both = ranked.withColumn("expected", F.row_number().over(plain))
+    assert both.agg(F.count_if(F.expr("rank = expected")), F.count("*")).first() == (4000, 4000)
+
+
+def test_ranks_refuse_types_without_an_order_number(spark):
+    rows = spark.range(3).selectExpr("id % 2 = 0 AS flag", "id")
+    with pytest.raises(TypeError, match="flag"):
+        ordered.with_rank(rows, [], "flag", "id")
+
+
 def test_repeated_score_is_spread_over_several_cells(spark):
     rows = skewed_scores(spark).where("defect_probability = 0.25")
     cuts = ordered.cut_points(rows, ["defect_probability", "sample_id"])
