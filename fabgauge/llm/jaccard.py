@@ -4,7 +4,8 @@
    with the first class of the band; those found linked form groups of similar documents.
 2. Each group stores the union of its members' tokens. Only tokens that can decide are stored:
    if two sets are similar enough, they share one of the first tokens (rarest first) of each.
-   Groups without a common entry can't hold linked documents and are never opened.
+   An entry also says how large a set its token can still lead to; groups without a common entry
+   that allows both sizes can't hold linked documents and are never opened.
 3. The other pairs of groups are opened: members of the smaller one are bounded against the token
    union of each cell of the larger one, and compared with its members only if that allows a link.
 
@@ -39,9 +40,6 @@ RARE, COUNTED, COMMON_BITS = 4, 0.4, 1 << 25
 CELL_TOKENS, CELL_QUERIES = 100_000, 256
 # Bits of the filter by which texts are read again: a bounded size, whatever the number of ids.
 FILTER_BITS = 1 << 23
-# Ratio between size classes, a little over 100 / PERCENT, and factor by which a group's smallest and
-# largest class are written as one number.
-SIZE_STEP, SPAN = 1.34, 256
 # Postings that a task turns into distinct entries of the matrix at a time.
 POSTINGS = 2_000_000
 
@@ -335,30 +333,43 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct (token, group, sizes) of the deciding tokens of a task's documents."""
-    tokens, groups, spans, held = [], [], [], 0
+    """Distinct (token, group) of the deciding tokens of a task's documents, with the smallest set that
+    holds the token and the largest set that a link through it allows.
+
+    If a token is the first that two sets share, the intersection holds at most the tokens of each from
+    there on. With ``rest`` of them in a set of size n, the other set has at most
+    ((100 + PERCENT) * rest - PERCENT * n) / PERCENT tokens.
+    """
+    tokens, groups, sizes, most, held = [], [], [], [], 0
 
     def flush() -> pa.RecordBatch:
         nonlocal held
-        t, g, s = np.concatenate(tokens), np.concatenate(groups), np.concatenate(spans)
-        for each in (tokens, groups, spans):
+        t, g, s, m = (np.concatenate(each) for each in (tokens, groups, sizes, most))
+        for each in (tokens, groups, sizes, most):
             each.clear()
         held = 0
         order = np.lexsort((g, t))
-        t, g, s = t[order], g[order], s[order]
-        new = np.concatenate(([True], (t[1:] != t[:-1]) | (g[1:] != g[:-1])))
+        t, g, s, m = t[order], g[order], s[order], m[order]
+        new = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (g[1:] != g[:-1]))))
         return pa.RecordBatch.from_arrays(
-            [pa.array(t[new].view(np.int64)), pa.array(g[new]), pa.array(s[new])],
-            names=["token", "cell", "span"],
+            [
+                pa.array(t[new].view(np.int64)),
+                pa.array(g[new]),
+                pa.array(np.minimum.reduceat(s, new).astype(np.int32)),
+                pa.array(np.maximum.reduceat(m, new).astype(np.int32)),
+            ],
+            names=["token", "cell", "least", "most"],
         )
 
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("cell", "span", "tokens")]
-        for group, span, packed in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("cell", "n", "tokens")]
+        for group, n, packed in zip(*columns, strict=True):
             mine = np.frombuffer(packed, np.uint64)
+            rest = n - np.arange(len(mine), dtype=np.int64)
             tokens.append(mine)
             groups.append(np.full(len(mine), group, np.int64))
-            spans.append(np.full(len(mine), span, np.int32))
+            sizes.append(np.full(len(mine), n, np.int64))
+            most.append(((100 + PERCENT) * rest - PERCENT * n) // PERCENT)
             held += len(mine)
             if held >= POSTINGS:
                 yield flush()
@@ -367,37 +378,36 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token: pairs of groups that share one and have sets of similar size."""
-    rest = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
+    """Rows sorted by token and least size: pairs of groups that share a token which allows both sizes."""
+    names = ("token", "cell", "least", "most")
+    rest = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32))
 
-    def paired(t: np.ndarray, g: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
-        least, most = s // SPAN, s % SPAN
+    def paired(t: np.ndarray, g: np.ndarray, least: np.ndarray, most: np.ndarray) -> pa.RecordBatch:
         first, last = [], []
-        far = 1
-        # Neighbours at distance 1, 2, ... within runs of one token.
-        while far < len(t):
-            same = np.flatnonzero(t[far:] == t[:-far])
-            if not len(same):
-                break
-            one, two = g[same], g[same + far]
-            close = (least[same] <= most[same + far] + 1) & (least[same + far] <= most[same] + 1)
-            differ = (one != two) & close
-            first.append(np.minimum(one, two)[differ])
-            last.append(np.maximum(one, two)[differ])
+        # Neighbours at distance 1, 2, ... within runs of one token, until the sizes grow too large.
+        near, far = np.arange(len(t) - 1), 1
+        while len(near):
+            near = near[near + far < len(t)]
+            near = near[(t[near + far] == t[near]) & (least[near + far] <= most[near])]
+            one, two = g[near], g[near + far]
+            open_ = (one != two) & (least[near] <= most[near + far])
+            first.append(np.minimum(one, two)[open_])
+            last.append(np.maximum(one, two)[open_])
             far += 1
         empty = np.zeros(0, np.int64)
         both = np.unique(np.stack([np.concatenate([empty, *first]), np.concatenate([empty, *last])], 1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["one", "two"])
 
     for batch in batches:
-        t, g, s = (
+        held = [
             np.concatenate([old, batch.column(c).to_numpy(zero_copy_only=False)])
-            for old, c in zip(rest, ("token", "cell", "span"), strict=True)
-        )
+            for old, c in zip(rest, names, strict=True)
+        ]
+        t = held[0]
         whole = np.searchsorted(t, t[-1]) if len(t) else 0
-        rest = (t[whole:], g[whole:], s[whole:])
+        rest = tuple(x[whole:] for x in held)
         if whole:
-            yield paired(t[:whole], g[:whole], s[:whole])
+            yield paired(*(x[:whole] for x in held))
     if len(rest[0]):
         yield paired(*rest)
 
@@ -439,38 +449,25 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         nodes.groupBy("cell").agg(
             F.count(F.lit(1)).alias("size"),
             F.sum("n").alias("tokens"),
-            F.min("n").alias("least"),
-            F.max("n").alias("most"),
         ),
         "groups",
     )
-    # Linked sets are in the same or neighbouring size classes.
-    size_class = lambda c: F.floor(F.log(F.col(c).cast("double")) / F.log(F.lit(SIZE_STEP)))
-    span = (size_class("least") * SPAN + size_class("most")).cast("int")
     matrix = (
-        full.select(F.col("doc_id").alias("id"), "tokens")
-        .join(nodes.join(sizes.select("cell", span.alias("span")), "cell").select("id", "cell", "span"), "id")
-        .select("cell", "span", "tokens")
-        .mapInArrow(_entries, "token long, cell long, span int")
+        full.select(F.col("doc_id").alias("id"), "n", "tokens")
+        .join(nodes.select("id", "cell"), "id")
+        .select("cell", "n", "tokens")
+        .mapInArrow(_entries, "token long, cell long, least int, most int")
     )
     pairs = (
         matrix.repartition(4 * partitions(docs.sparkSession), "token")
-        .sortWithinPartitions("token")
+        .sortWithinPartitions("token", "least")
         .mapInArrow(_pairs, "one long, two long")
         .distinct()
     )
     side = lambda name: sizes.select(
         F.col("cell").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in sizes.columns[1:]]
     )
-    pairs = stored(
-        pairs.join(side("one"), "one")
-        .join(side("two"), "two")
-        .filter(
-            (100 * F.col("one_most") >= PERCENT * F.col("two_least"))
-            & (100 * F.col("two_most") >= PERCENT * F.col("one_least"))
-        ),
-        "group-pairs",
-    )
+    pairs = stored(pairs.join(side("one"), "one").join(side("two"), "two"), "group-pairs")
     pairs = _bounded(pairs, full)
 
     # Members of the smaller group go to all cells of the larger one.
