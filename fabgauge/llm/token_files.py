@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fabgauge.llm.common import partitions, slices, stored
+from fabgauge.llm.common import SLICE, partitions, slices, stored
 from fabgauge.llm.tokens import END_ID, Encoder
 
 # Stands for a null document id in the files.
@@ -43,8 +43,9 @@ def write_token_files(
 ) -> DataFrame:
     """Write the ids of all documents in ascending order of document id; return the manifest.
 
-    Rows are sorted by range into ``parts`` parts (default: the shuffle partitions), each written by
-    one task that holds one document at a time. A file appears under its name only when complete,
+    Texts are encoded where they are read and the ids written once, so that only ids are sorted, by
+    range into ``parts`` parts (default: the shuffle partitions). Each part is written by one task that
+    holds a few documents at a time. A file appears under its name only when complete,
     and a repeated attempt writes the same bytes. Null texts are empty (only ``end_id``); null ids
     come first; rows with the same id are kept, in order of a hash of their text. Other columns are
     ignored. An empty table gives an empty manifest. ``folder`` must be a URI that all
@@ -53,26 +54,35 @@ def write_token_files(
     spark = docs.sparkSession
     width = Encoder(tokenizer).dtype.itemsize
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(tokenizer)
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                ids = [x.tobytes() for x in encoder.documents(part.column("text").to_pylist(), end_id)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("tie"), pa.array(ids, pa.binary())],
+                    names=["doc_id", "tie", "ids"],
+                )
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
-        encoder = Encoder(tokenizer)
         attempt = uuid.uuid4().hex[:8]
         kinds = ("ids", "offsets", "docs")
         documents = tokens = 0
         files = None
         for batch in batches:
-            for ids, texts, _ in slices(batch):
+            for names, _, encoded in slices(batch):
                 if files is None:
                     files = [fs.open_output_stream(_part(root, part, f"{k}.{attempt}")) for k in kinds]
                     files[1].write(np.int64(0).tobytes())
-                encoded = list(encoder.documents(texts, end_id))
-                ends = tokens + np.cumsum([len(x) for x in encoded], dtype="<i8")
-                files[0].write(np.concatenate(encoded).tobytes())
+                ends = tokens + np.cumsum([len(x) // width for x in encoded], dtype="<i8")
+                files[0].write(b"".join(encoded))
                 files[1].write(ends.tobytes())
-                files[2].write(np.array([NO_ID if x is None else x for x in ids], "<i8").tobytes())
-                documents, tokens = documents + len(ids), int(ends[-1])
+                files[2].write(np.array([NO_ID if x is None else x for x in names], "<i8").tobytes())
+                documents, tokens = documents + len(names), int(ends[-1])
         if files is None:
             return
         for kind, file in zip(kinds, files, strict=True):
@@ -91,7 +101,8 @@ def write_token_files(
         F.col(text_column).alias("text"),
         F.xxhash64(F.col(text_column)).alias("tie"),
     )
-    ordered = rows.repartitionByRange(
+    encoded = stored(rows.mapInArrow(encode, "doc_id long, tie long, ids binary"), "encoded")
+    ordered = encoded.repartitionByRange(
         parts or partitions(spark), "doc_id", "tie"
     ).sortWithinPartitions("doc_id", "tie")
     written = stored(
