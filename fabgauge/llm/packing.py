@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fabgauge.llm.common import numbered, slices, stored
-from fabgauge.llm.tokens import END_ID, Encoder
+from fabgauge.llm.tokens import END_ID, worker_encoder
 
 Pattern = tuple[tuple[int, ...], int]
 
@@ -36,7 +36,7 @@ def token_pieces(
     schema += ", ids array<long>" if with_ids else ""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             for names, texts in slices(batch):
                 rows: list[tuple] = []

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabgauge.llm.common import partitions, slices, stored
-from fabgauge.llm.tokens import END_ID, Encoder
+from fabgauge.llm.tokens import END_ID, worker_encoder
 
 # Stands for a null document id in the files.
 NO_ID = -(2**63)
@@ -51,13 +51,13 @@ def write_token_files(
     executors reach.
     """
     spark = docs.sparkSession
-    width = Encoder(tokenizer).dtype.itemsize
+    width = worker_encoder(tokenizer).dtype.itemsize
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         attempt = uuid.uuid4().hex[:8]
         kinds = ("ids", "offsets", "docs")
         documents = tokens = 0

@@ -10,14 +10,16 @@ from __future__ import annotations
 
 import json
 import string
+import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-# Words kept by one worker, about 200 bytes each.
-CACHE_WORDS = 400_000
+# Words in each of the two halves of a worker's cache, about 200 bytes each, and word endings kept.
+CACHE_WORDS, CACHE_ENDINGS = 250_000, 10_000
 END_ID = 2
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
@@ -55,12 +57,27 @@ class Encoder:
         )
         self.model = self.full.model
         self.letters = _byte_letters()
+        # When the newer half is full it becomes the older one, whose words move up when seen again.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.endings: dict[str, bytes] = {}
         self.limit = cache_words
 
-    def _piece(self, text: str) -> list[int]:
+    def _piece(self, text: str) -> bytes:
         shown = text.encode().decode("latin-1").translate(self.letters)
-        return [token.id for token in self.model.tokenize(shown)]
+        return self._shown_piece(shown)
+
+    def _shown_piece(self, shown: str) -> bytes:
+        ids = [token.id for token in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
+
+    def _ending(self, text: str) -> bytes:
+        ids = self.endings.get(text)
+        if ids is None:
+            if len(self.endings) >= CACHE_ENDINGS:
+                self.endings.clear()
+            ids = self.endings[text] = self._piece(text)
+        return ids
 
     def _whole(self, text: str) -> bytes:
         ids = self.full.encode(text, add_special_tokens=False).ids
@@ -73,29 +90,33 @@ class Encoder:
             return None
         stem = body.rstrip(string.punctuation)
         before = "" if lead == "\t" else lead
-        if not (stem.isalpha() and max(stem) <= "ɏ"):
+        plain = stem.isascii()
+        if not (stem.isalpha() and (plain or max(stem) <= "ɏ")):
             return self._whole(before + body)
+        # Plain letters stand for themselves.
+        shown = stem if plain else stem.encode().decode("latin-1").translate(self.letters)
+        ids = self._shown_piece(self.letters[ord(" ")] + shown if before == " " else shown)
+        if lead == "\n":
+            ids = self._ending("\n") + ids
         tail = body[len(stem) :]
-        pieces = ["\n", stem] if lead == "\n" else [before + stem]
-        ids = [i for piece in (*pieces, tail) if piece for i in self._piece(piece)]
-        return np.array(ids, self.dtype).tobytes()
+        return ids + self._ending(tail) if tail else ids
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_word:
             return np.frombuffer(self._whole(text), self.dtype)
         # A tab marks the first word, which has nothing before it.
         words = ("\t" + text.replace("\n", " \n")).split(" ") if text else []
-        try:
-            joined = b"".join(map(self.cache.__getitem__, words))
-        except KeyError:
+        found = list(map(self.cache.get, words))
+        if None in found:
             if len(self.cache) > self.limit:
-                self.cache.clear()
-            for word in [w for w in set(words) if w not in self.cache]:
-                ids = self._word(word)
+                self.older, self.cache = self.cache, {}
+            for at in [i for i, ids in enumerate(found) if ids is None]:
+                word = words[at]
+                ids = self.cache.get(word) or self.older.get(word) or self._word(word)
                 if ids is None:
                     return np.frombuffer(self._whole(text), self.dtype)
-                self.cache[word] = ids
-            joined = b"".join(map(self.cache.__getitem__, words))
+                self.cache[word] = found[at] = ids
+        joined = b"".join(found)
         return np.frombuffer(joined, self.dtype)
 
     def documents(self, texts: list[str | None], end_id: int = END_ID) -> Iterator[np.ndarray]:
@@ -104,5 +125,11 @@ class Encoder:
             yield np.append(self.encode(text or ""), self.dtype.type(end_id))
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """The encoder that a Python worker keeps for all its tasks, with its words."""
+    return Encoder(path)
+
+
 def id_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary <= 65_536 else "<u4")
