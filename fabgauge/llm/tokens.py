@@ -102,7 +102,7 @@ class Encoder:
         return ids + self._ending(tail) if tail else ids
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.by_word:
+        if not self.by_word or "\t" in text:
             return np.frombuffer(self._whole(text), self.dtype)
         # A tab marks the first word, which has nothing before it.
         words = ("\t" + text.replace("\n", " \n")).split(" ") if text else []

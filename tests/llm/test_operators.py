@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -57,6 +57,7 @@ def plain_ids():
 
 
 @settings(max_examples=150, deadline=None)
+@example("1 \t1")
 @given(st.text(alphabet=st.sampled_from(list("ab Zé.,'\n\t\u00a0 1東—|<>s")), max_size=40))
 def test_ids_by_word_are_those_of_the_whole_text(text):
     if not hasattr(test_ids_by_word_are_those_of_the_whole_text, "made"):
