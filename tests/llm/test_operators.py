@@ -374,3 +374,47 @@ def test_urls(spark):
     assert ratio[texts.index("http://fine3.org/page/3")] > ratio[texts.index("http://site3.example.org/es/spam-3")]
     assert urls.judge_urls(pages.limit(0), rules).count() == 0
     assert {r.verdict for r in urls.judge_urls(pages, []).collect()} == {"allow"}
+
+
+def brute_ratios(labelled, asked):
+    """Log ratios with counts kept by the context itself."""
+    counts = {}
+
+    def grams(url):
+        signs = [None] * urls.ORDER + list((url or "").lower().encode()) + ["end"]
+        return [[tuple(signs[at - k : at]) for k in range(urls.ORDER + 1)] + [signs[at]] for at in range(urls.ORDER, len(signs))]
+
+    for url, accepted in labelled:
+        for *contexts, sign in grams(url):
+            for context in contexts:
+                followers = counts.setdefault((accepted, context), {})
+                followers[sign] = followers.get(sign, 0) + 1
+    found = {}
+    for url in asked:
+        total, places = 0.0, grams(url)
+        for *contexts, sign in places:
+            chance = [1 / 257, 1 / 257]
+            for context in contexts:
+                for c in (0, 1):
+                    followers = counts.get((c, context), {})
+                    chance[c] = (followers.get(sign, 0) + chance[c]) / (sum(followers.values()) + 1)
+            total += np.log(chance[1]) - np.log(chance[0])
+        found[url] = total / len(places)
+    return found
+
+
+@pytest.mark.parametrize("frequent", [100_000, 300])
+def test_url_ratios_equal_counts_without_hashing(spark, monkeypatch, frequent):
+    monkeypatch.setattr(urls, "FREQUENT", frequent, raising=False)
+    letters = random.Random(3)
+    made = ["".join(letters.choices("abcdefghijklmnopqrstuvwxyz0123456789\x01é", k=24)) for _ in range(1500)]
+    texts = [f"http://x.{('org', 'com', 'net')[i % 3]}/{m}" for i, m in enumerate(made)] + [None, "", "http://x.net/hot"]
+    rules = [urls.Rule.parse("allow org/"), urls.Rule.parse("block com/")]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(9000 + i, texts[-1]) for i in range(500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    held_out = {r.url for r in pages.filter(f"pmod(xxhash64(url), {urls.HELD_OUT}) = 0").collect()}
+    labelled = [(t, int(".org/" in t)) for t in texts if t and not t.startswith("http://x.net") and t not in held_out]
+    expected = brute_ratios(labelled, set(texts))
+    found = urls.judge_urls(pages, rules).collect()
+    assert sorted(r.page_id for r in found) == sorted(r[0] for r in rows)
+    assert max(abs(r.ratio - expected[r.url]) for r in found) < 1e-8
