@@ -12,10 +12,25 @@ from pyspark.sql import functions as F
 
 from fabgauge.llm.common import stored
 
-# 1 selects a word, 0 ignores it.
-MASKS = ("11111", "1101011", "10110011")
 # A document is contaminated if so many of the words of a window of an item stand in it in place.
 WINDOW, SHARE = 12, 0.75
+# The masks for items of so many words, the last ones for all longer ones: 1 selects a word, 0 ignores
+# it. However the words that may differ lie in a window, some mask selects none of them.
+_LONG = ("110111", "11010011", "110001011", "111011")
+MASKS = {
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("111", "1011", "1101"),
+    5: ("1111", "10111", "11011", "11101"),
+    6: ("11111", "101111", "110111", "111011", "111101"),
+    7: ("11111", "110111", "111011"),
+    8: ("11111", "101111", "110111", "111011", "1100111", "1110101", "11010011"),
+    9: (*_LONG, "11111"),
+    10: _LONG[:3],
+    11: _LONG[:2],
+    WINDOW: _LONG,
+}
 # Benchmark words that are broadcast at once (about 100 bytes each); more are taken in turn.
 BLOCK_WORDS = 500_000
 
@@ -26,14 +41,27 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, words: str, *kept: str) -> DataFrame:
-    """One row per mask and position at which the mask fits: kept columns, place, mask and seed."""
+def _size_class(words: str) -> Column:
+    return F.least(F.size(words), F.lit(WINDOW))
+
+
+def _masks(items: DataFrame) -> list[str]:
+    """The masks for the items there are."""
+    sizes = [r[0] for r in items.select(_size_class("item_words")).distinct().collect()]
+    return sorted({mask for size in sizes for mask in MASKS.get(size, ())})
+
+
+def _seeds(rows: DataFrame, words: str, masks: list[str], whole: bool, *kept: str) -> DataFrame:
+    """One row per mask and position at which the mask fits: kept columns, place, mask and seed. Of the
+    rows that are ``whole`` items only those get a seed that the mask is for."""
     at = rows.select(*kept, F.posexplode(words).alias("place", "_word"))
     each = []
-    for number, mask in enumerate(MASKS):
+    for mask in masks:
         chosen = [F.get(words, F.col("place") + k) for k, c in enumerate(mask) if c == "1"]
         fits = F.col("place") + len(mask) <= F.size(words)
-        each.append(F.when(fits, F.xxhash64(F.lit(number), *chosen)))
+        if whole:
+            fits &= _size_class(words).isin([size for size in MASKS if mask in MASKS[size]])
+        each.append(F.when(fits, F.xxhash64(F.lit(mask), *chosen)))
     return at.select(*kept, "place", F.posexplode(F.array(*each)).alias("mask", "seed")).filter(
         "seed IS NOT NULL"
     )
@@ -52,10 +80,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents with passages of benchmark items: doc_id, item_id, equal_words, first_word.
 
     A pair is returned if an item can be laid beside a document so that in some window of WINDOW
-    item words (the whole item if shorter) at least SHARE of the words are equal, and a mask hits
-    there. ``equal_words`` is the most equal words of all such ways, ``first_word`` the first of
-    them in the document, from 0. Null and empty texts have no words; items shorter than the
-    shortest mask match nothing; rows with null ids are left out; repeated rows count once. Texts are
+    item words (the whole item if shorter) at least SHARE of the words are equal. So an item of one word
+    is found wherever the word is. ``equal_words`` is the most equal words of all such ways,
+    ``first_word`` the first of them in the document, from 0. Null and empty texts have no words and
+    match nothing; rows with null ids are left out; repeated rows count once. Texts are
     read whole; other columns are ignored.
     """
     items = stored(
@@ -65,28 +93,30 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "benchmark-words",
     )
     read = docs.filter("doc_id IS NOT NULL").select("doc_id", word_hashes(F.col("text")).alias("words"))
-    seeds = _seeds(read, "words", "doc_id", "words")
+    # Without an item with words any mask will do, as there is nothing to meet.
+    masks = _masks(items) or list(_LONG)
+    seeds = _seeds(read, "words", masks, False, "doc_id", "words")
     found = None
     for block in _blocks(items):
         # Both sides of at most about BLOCK_WORDS words.
-        index = _seeds(block, "item_words", "item_id", "item_words").select(
+        index = _seeds(block, "item_words", masks, True, "item_id", "item_words").select(
             "seed", "mask", "item_id", "item_words", F.col("place").alias("item_place")
         )
         keys = index.select("seed", "mask", "item_id", "item_place").distinct()
         hits = seeds.join(F.broadcast(keys), ["seed", "mask"]).join(F.broadcast(block), "item_id")
-        part = _verified(hits)
+        part = _verified(hits, masks)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("equal_words").alias("equal_words"), F.min("first_word").alias("first_word")
     )
 
 
-def _verified(hits: DataFrame) -> DataFrame:
+def _verified(hits: DataFrame, masks: list[str]) -> DataFrame:
     shift = F.col("place") - F.col("item_place")
     size = F.size("item_words")
     # A hit right after another one of the same mask and item place shows nothing new.
     after = F.lit(False)
-    for number, mask in enumerate(MASKS):
+    for number, mask in enumerate(masks):
         same = F.col("item_place") > 0
         for k, c in enumerate(mask):
             if c == "1":

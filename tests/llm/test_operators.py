@@ -257,6 +257,42 @@ def test_leaks_with_replaced_words(spark, docs, empty):
     assert decontaminate.remove_contaminated(docs, nothing).count() == docs.count()
 
 
+def accepted_patterns(size, least_only=False):
+    """Bits of the equal words of items of a size, for all ways that the rule accepts."""
+    width = min(decontaminate.WINDOW, size)
+    need = -int(-width * decontaminate.SHARE // 1)
+    for bits in range(1 << size):
+        most = max((bits >> s & (1 << width) - 1).bit_count() for s in range(size - width + 1))
+        if most >= need and not (least_only and bits.bit_count() > need):
+            yield bits
+
+
+@pytest.mark.parametrize("size", range(1, 16))
+def test_masks_hit_every_accepted_pattern(size):
+    masks = decontaminate.MASKS[min(size, decontaminate.WINDOW)]
+    placed = [int(m, 2) << s for m in masks for s in range(size - len(m) + 1)]
+    assert all(any(bits & p == p for p in placed) for bits in accepted_patterns(size))
+
+
+def test_leaks_of_short_items(spark):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in range(1, 13)}
+    texts, expected = [], set()
+    for n, words in items.items():
+        for bits in accepted_patterns(n, least_only=True):
+            copy = [w if bits >> k & 1 else "other" for k, w in enumerate(words)]
+            expected.add((len(texts), n, bits.bit_count()))
+            texts.append(" ".join(["before", *copy, "after"]))
+            if n > 1:  # one equal word less
+                copy[copy.index(next(w for w in copy if w != "other"))] = "other"
+                texts.append(" ".join(["before", *copy, "after"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for chosen in (list(items), [12]):
+        benchmark = spark.createDataFrame([(n, " ".join(items[n])) for n in chosen], "item_id long, text string")
+        found = decontaminate.find_contamination(docs, benchmark).collect()
+        mine = {(r.doc_id, r.item_id, r.equal_words) for r in found}
+        assert mine == {e for e in expected if e[1] in chosen}
+
+
 def test_conversations_round_trip(spark):
     nasty = "<|im_start|>user\n<|im_sep|> <\\|im_end|>\\ [INST] <<SYS>> </s>"
     rows = [
