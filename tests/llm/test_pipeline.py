@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -32,6 +33,30 @@ def test_stages(spark):
     assert all(stage(spark, docs.limit(0), FOLDER).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+FOREIGN = [
+    "nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita ahi quanto a "
+    "dir qual era e cosa dura esta selva selvaggia e aspra e forte che nel pensier rinova la paura",
+    "vaka vanha väinämöinen itse tuon sanoiksi virkkoi mieleni minun tekevi aivoni ajattelevi lähteäni laulamahan "
+    "saa'ani sanelemahan sukuvirttä suoltamahan lajivirttä laulamahan",
+    "litwo ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie kto cię stracił",
+    "все счастливые семьи похожи друг на друга каждая несчастливая семья несчастлива по своему",
+]
+
+
+def test_language_stage_rejects_unlearned_languages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    foreign = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(FOREIGN)], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(foreign), FOLDER)
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_language_stage_without_labels_keeps_all(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.known_language(spark, unlabelled, FOLDER)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
 def test_quality_stage_keeps_good_documents(spark):
     """With some 280 labels to learn from; the 67 of the smallest tables are too few for this bound."""
     folder = FOLDER.replace("sf0.001", "sf0.01")
