@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fabgauge.llm.common import SLICE, partitions, sorted_unique, stored
+from fabgauge.llm.common import SLICE, numbered, partitions, sorted_unique, stored
 from fabgauge.llm.components import components
 
 # Two documents link if 100 * common >= PERCENT * union.
@@ -512,7 +512,7 @@ def _bounded(pairs: DataFrame, full: DataFrame) -> DataFrame:
     single = (F.col("one_size") == 1) & (F.col("two_size") == 1)
     alone = pairs.filter(single)
     ids = alone.select(F.explode(F.array("one", "two")).alias("id"))
-    parts = among(full.select("doc_id", "parts"), "doc_id", ids).dropDuplicates(["doc_id"])
+    parts = among(full.select("doc_id", "parts"), "doc_id", ids).distinct()
     side = lambda name: parts.select(F.col("doc_id").alias(name), F.col("parts").alias(f"{name}_parts"))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -525,22 +525,63 @@ def _bounded(pairs: DataFrame, full: DataFrame) -> DataFrame:
     checked = (
         alone.join(side("one"), "one").join(side("two"), "two").select(*pairs.columns, "one_parts", "two_parts")
     ).mapInArrow(keep, schema)
-    return pairs.filter(~single).unionByName(checked)
+    # An id with several texts has several histograms.
+    return pairs.filter(~single).unionByName(checked.distinct())
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each component, that of its smallest doc_id, with all columns of ``docs``; of rows
-    with the same id one stays. Rows with a null id are all kept."""
-    found = jaccard_components(docs)
-    others = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    others = stored(others, "other-copies")
-    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    with the same id and text one stays. Rows with a null id are all kept. Different texts of one id
+    are documents of their own: each stays or goes by its own links."""
     repeated = stored(
         docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"),
         "repeated-ids",
     )
     if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-    once = kept.join(repeated.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    return once.unionByName(again.dropDuplicates(["doc_id"]))
+        return _first_rows(docs.withColumn("_key", F.col("doc_id")), None).select(*docs.columns)
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    again = docs.join(repeated.select("doc_id"), "doc_id", "left_semi").select("doc_id", digest.alias("_digest"))
+    again = stored(again.distinct(), "repeated-texts")
+    first = again.groupBy("doc_id").agg(F.min("_digest").alias("first"))
+    others = stored(again.join(first, "doc_id").filter("_digest <> first").drop("first"), "other-texts")
+    extra = None
+    keyed = docs.withColumn("_key", F.col("doc_id"))
+    if not others.isEmpty():
+        # The first text keeps the id; the others get ids that no document has.
+        high = docs.agg(F.max("doc_id")).first()[0]
+        extra = numbered(others, [], ["doc_id", "_digest"], "n").select(
+            "doc_id", "_digest", (F.col("n") + F.lit(high + 1)).alias("_new")
+        )
+        extra = stored(extra, "extra-ids")
+        keyed = (
+            docs.withColumn("_digest", digest)
+            .join(extra, ["doc_id", "_digest"], "left")
+            .withColumn("_key", F.coalesce("_new", "doc_id"))
+            .drop("_digest", "_new")
+        )
+    kept = _first_rows(keyed, extra)
+    columns = [*docs.columns, "_key"]
+    again = kept.join(repeated.select("doc_id"), "doc_id", "left_semi").select(*columns)
+    once = kept.join(repeated.select("doc_id"), "doc_id", "left_anti").select(*columns)
+    return once.unionByName(again.dropDuplicates(["_key"])).select(*docs.columns)
+
+
+def _first_rows(keyed: DataFrame, extra: DataFrame | None) -> DataFrame:
+    """Rows whose ``_key`` is the first of its component, or null. Keys in ``extra`` (doc_id, _new) rank
+    by their doc_id."""
+    found = jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    others = found.filter("component_id <> doc_id")
+    if extra is not None:
+        found = stored(found, "components-by-text")
+        real = extra.select(F.col("_new").alias("doc_id"), F.col("doc_id").alias("real"))
+        first = (
+            found.filter("doc_id IS NOT NULL")
+            .join(real, "doc_id", "left")
+            .groupBy("component_id")
+            .agg(F.min(F.struct(F.coalesce("real", "doc_id").alias("real"), "doc_id")).alias("first"))
+            .select("component_id", F.col("first.doc_id").alias("first"))
+            .filter("first <> component_id")
+        )
+        others = found.join(first, "component_id", "left").filter("doc_id <> coalesce(first, component_id)")
+    others = stored(others.select(F.col("doc_id").alias("_key")).distinct(), "other-copies")
+    return keyed.join(others, "_key", "left_anti")

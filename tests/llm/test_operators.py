@@ -215,6 +215,14 @@ def test_one_of_each_group_stays(docs):
     assert names.count(7) == 1 and names.count(None) == 2
 
 
+def test_every_text_of_a_repeated_id_is_judged(spark):
+    a, b, c, d, e = (prose(300 + k, 60) for k in range(5))
+    rows = [(1, a), (5, a), (5, b), (2, c), (2, d), (3, c), (4, d), (3, c), (6, e), (6, e), (9, ""), (9, None), (None, a)]
+    kept = jaccard.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((r.doc_id or 0, r.text or "") for r in kept)
+    assert found == sorted([(0, a), (1, a), (5, b), (2, c), (2, d), (6, e), (9, "")])
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.sets(st.integers(0, 60)), st.sets(st.integers(0, 60)))
 def test_histogram_never_hides_a_link(one, two):
