@@ -162,7 +162,7 @@ WEIGHTS = {
     "sensor_004": 3.0,
     "sensor_006": -0.5,
 }
-REPEATS = 3
+REPEATS = 10
 
 
 def _margin(columns: dict[str, str]) -> str:

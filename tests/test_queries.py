@@ -1,10 +1,13 @@
 """Every registered query beside its SQL on the smallest test tables."""
 
+import inspect
 from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as entry
+from fabgauge.operators import explain
+from fabgauge.queries import modeling
 from tests.oracle import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
@@ -28,3 +31,8 @@ def test_every_sql_has_a_query():
 def test_entry(spark):
     actions = {r.recommended_action for r in entry.entry(spark).collect()}
     assert actions == {"drop_candidate", "review", "keep"}
+
+
+def test_permutation_importance_uses_the_default_repeats():
+    default = inspect.signature(explain.permutation_importance).parameters["repeats"].default
+    assert modeling.REPEATS == default == 10
