@@ -15,8 +15,11 @@ from fabgauge.llm import (
     languages,
     neighbours,
     packing,
+    prefix_trie,
     quality,
+    runs,
     sharding,
+    substrings,
     token_files,
     urls,
 )
@@ -192,3 +195,104 @@ def token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+# CRC-32 of a text of ASCII characters: a table of remainders from the polynomial, then byte by byte.
+CRC_TABLE_SQL = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS remainders
+  FROM (SELECT unnest(range(256)) AS i)
+)"""
+
+
+def crc_sql(text: str) -> str:
+    """DuckDB expression of the CRC-32 of ``text``; ``remainders`` of ``crc_table`` must be in scope."""
+    letters = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return (
+        f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {letters}), "
+        "lambda a, b: xor(a >> 8, remainders[(xor(a, b) & 255) + 1])), 4294967295)"
+    )
+
+
+TRIE_SQL = f"""
+WITH {CRC_TABLE_SQL}, turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), keyed AS (
+  SELECT conv_id, place, md5(length(role) || ':' || role || text) AS key, length(text) AS chars FROM turns
+), ids AS (
+  SELECT conv_id, {crc_sql("CAST(conv_id AS VARCHAR)")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc_table
+), parts AS (
+  SELECT ids.conv_id, 0 AS part, k.place, k.key, k.chars FROM ids JOIN keyed k
+    ON k.conv_id = ids.conv_id - ids.conv_id % 100 AND k.place < ids.h
+  UNION ALL
+  SELECT ids.conv_id, 1, k.place, k.key, k.chars FROM ids JOIN keyed k ON k.conv_id = ids.conv_id AND k.place >= ids.h
+), paths AS (
+  SELECT ids.conv_id, coalesce(string_agg(key, '' ORDER BY part, place), '') AS path,
+    list(chars ORDER BY part, place) FILTER (key IS NOT NULL) AS chars, count(key) AS n
+  FROM ids LEFT JOIN parts USING (conv_id) GROUP BY ids.conv_id
+), prefixes AS (
+  SELECT conv_id, n, unnest(range(n + 1)) AS depth, path, chars FROM paths
+), nodes AS (
+  SELECT substr(path, 1, 32 * depth) AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    any_value(CASE WHEN depth = 0 THEN 0 ELSE chars[depth] END) AS last_chars,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY ALL
+), children AS (
+  SELECT substr(node, 1, 32 * (depth - 1)) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), sized AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)
+), above AS (
+  SELECT substr(node, 1, 32 * unnest(range(depth + 1))) AS node, n_children, (n_convs - 1) * last_chars AS saved FROM sized
+), subtrees AS (
+  SELECT node, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+  FROM above GROUP BY node
+)
+SELECT s.conv_id, s.depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children, t.n_leaves, t.saved_tokens,
+  s.ends_sha256
+FROM sized s JOIN subtrees t USING (node)
+LEFT JOIN nodes p ON s.depth > 0 AND p.node = substr(s.node, 1, 32 * (s.depth - 1))
+"""
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = prefix_trie.conversation_steps(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(steps))
+
+
+@query("op13_word_runs")
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return runs.run_digests(runs.find_runs(runs.with_planted_runs(docs)))
+
+
+REPEATED_WORDS = 50
+REPEATS_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), windows AS (
+  SELECT doc_id, first, md5(array_to_string(words[first:first + {REPEATED_WORDS - 1}], ' ')) AS passage
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - {REPEATED_WORDS - 2})) AS first FROM texts)
+), earliest AS (
+  SELECT passage, min(doc_id) AS owner FROM windows GROUP BY passage
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(first, first + {REPEATED_WORDS})) AS place
+  FROM windows JOIN earliest USING (passage) WHERE owner < doc_id
+), dropped AS (
+  SELECT doc_id, list(place) AS places FROM covered GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN places IS NULL THEN array_to_string(words, ' ') ELSE array_to_string(
+    list_filter(words, lambda w, i: NOT list_contains(places, i)), ' ') END) AS kept_sha256
+FROM texts LEFT JOIN dropped USING (doc_id)
+"""
+
+
+@query("op11_substring_dedup", REPEATS_SQL)
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"), REPEATED_WORDS)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
