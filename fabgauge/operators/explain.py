@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fabgauge.operators.evaluate import LABEL, SCORE, curve_areas, top_risk_ids
-from fabgauge.operators.models import FOREST, LOGISTIC, SEED, positive_score
+from fabgauge.operators.models import FOREST, LOGISTIC, SEED
 from fabgauge.operators.ordered import exact_median, hash_key, with_hash_rank, with_rank
 from fabgauge.operators.profile import melt
+from fabgauge.operators.rescoring import OTHER, VALUES, ForestRescorer, LinearRescorer, Rescorer
 from fabgauge.session import fix
 
 # Names of importance types and sample groups, list lengths.
@@ -74,25 +75,16 @@ def linear_scorer(
     return score
 
 
-def model_scorer(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
-    return lambda rows: positive_score(model, rows)
-
-
-def permuted_rows(
-    test: DataFrame,
-    features: Sequence[str],
-    repeats: int = REPEATS,
-    seed: int = SEED,
-    key: str = "sample_id",
-    label: str = LABEL,
+def permuted_pairs(
+    ids: DataFrame, repeats: int = REPEATS, seed: int = SEED, key: str = "sample_id"
 ) -> DataFrame:
-    """The test rows once per repeat and feature, with that feature taken from another row.
+    """For each repeat and row the row whose values it takes: ``repeat, key, _donor``.
 
-    In repeat r the row with id rank i gets the value of the row with rank i in the order of
+    In repeat r the row with id rank i takes the value of the row with rank i in the order of
     md5(id|r|seed). Only ids are ranked, cell by cell, and paired by (repeat, rank), which is
-    unique; the feature columns join the pairs afterwards. All features share one order.
+    unique. All features share one order.
     """
-    ids = test.select(key)
+    ids = ids.select(key)
     numbered = with_rank(
         ids.withColumn("_all", F.lit(1)), ["_all"], key, key, descending=False, name="_at"
     ).drop("_all")
@@ -101,28 +93,13 @@ def permuted_rows(
     keyed = ids.select(again, F.col(key).alias("_donor"))
     keyed = keyed.withColumn("_order", hash_key(F.col("_donor"), F.col("repeat"), seed))
     donors = with_hash_rank(keyed, ["repeat"], "_order", "_donor", "_at").drop("_order")
-    pairs = receivers.join(donors, ["repeat", "_at"]).drop("_at")
-    values = test.select(
-        F.col(key).alias("_donor"), *[F.col(f).alias(f"_new_{f}") for f in features]
-    )
-    paired = pairs.join(test.select(key, label, *features), key).join(values, "_donor")
-    changed = F.explode(F.lit(list(features))).alias("feature")
-    return paired.select("*", changed).select(
-        "repeat",
-        "feature",
-        key,
-        label,
-        *[
-            F.when(F.col("feature") == f, F.col(f"_new_{f}")).otherwise(F.col(f)).alias(f)
-            for f in features
-        ],
-    )
+    return receivers.join(donors, ["repeat", "_at"]).drop("_at")
 
 
 def permutation_importance(
     test: DataFrame,
     features: Sequence[str],
-    scorer: Callable[[DataFrame], DataFrame],
+    scorer: Rescorer,
     model_name: str,
     repeats: int = REPEATS,
     seed: int = SEED,
@@ -131,13 +108,18 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean drop of average precision when one feature's values are shuffled.
 
-    All rows are scored once and their scores checkpointed, since the curve areas read them
-    several times.
+    A row meets the values of the row it is paired with once per repeat, as two arrays; the scores
+    with each single feature replaced come from there, so no wide row is repeated per feature. Scores are
+    checkpointed, since the curve areas read them several times.
     """
-    plain = scorer(test.select(key, label, *features))
-    baseline = curve_areas(fix(plain.select(F.lit(1).alias("_all"), label, SCORE)), ["_all"], label)
-    shuffled = scorer(permuted_rows(test, features, repeats, seed, key, label))
-    scores = fix(shuffled.select("feature", "repeat", label, SCORE))
+    inputs = scorer.inputs(test, [key, label])
+    plain = scorer.scores(inputs, [label]).withColumn("_all", F.lit(1))
+    baseline = curve_areas(fix(plain), ["_all"], label)
+    others = inputs.select(F.col(key).alias("_donor"), F.col(VALUES).alias(OTHER))
+    paired = permuted_pairs(inputs, repeats, seed, key).join(inputs, key).join(others, "_donor")
+    names = F.lit(list(features))
+    shuffled = scorer.changed(paired, ["repeat", label])
+    scores = fix(shuffled.select(F.get(names, F.col("_at")).alias("feature"), "repeat", label, SCORE))
     areas = curve_areas(scores, ["feature", "repeat"], label)
     drops = areas.groupBy("feature").agg(
         (baseline.select("average_precision").scalar() - F.avg("average_precision")).alias(
@@ -164,9 +146,10 @@ def feature_importance(
     """All importance tables of both models in one."""
     tables = [coefficient_importance(logistic, features), impurity_importance(forest, features)]
     if include_permutation:
+        scorers = {LOGISTIC: LinearRescorer.of(logistic, features), FOREST: ForestRescorer.of(forest)}
         tables += [
-            permutation_importance(test, features, model_scorer(model), name, repeats)
-            for name, model in ((LOGISTIC, logistic), (FOREST, forest))
+            permutation_importance(test, features, scorer, name, repeats)
+            for name, scorer in scorers.items()
         ]
     result = tables[0]
     for table in tables[1:]:

@@ -23,9 +23,7 @@ WIDE_LINEAGE = {
     "imputation_strategy": "median_train_only",
 }
 FEATURE_SET_IMPUTATION = "median"
-LEAKAGE_NOTE = (
-    "Median imputation values are fit on X_train only and then applied to X_train and X_test."
-)
+LEAKAGE_NOTE = "Test rows are filled with the medians of the training rows; no median has seen a test row."
 SPLIT_METHOD = "stratified_train_test_split"
 
 

@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
-from fabgauge.operators import evaluate, explain, impute, models, split
+from fabgauge.operators import evaluate, explain, impute, models, rescoring, split
 from fabgauge.queries import adapters as A
 from fabgauge.queries.events import d1_master
 from fabgauge.queries.registry import query, rounded, rounded_sql, with_tables
@@ -14,20 +14,24 @@ from fabgauge.queries.scoring import areas_sql
 from fabgauge.queries.wide import BINARY, LONG, WIDE_SPLIT, wide_master
 from fabgauge.session import fix
 
-# Forest size and repeats of the registered queries; the library defaults are larger.
-QUERY_TREES = 40
-QUERY_DEPTH = 8
-QUERY_REPEATS = 2
+
+def version(spark, folder, name):
+    """The files of a table and when they were written, so that fits of other data are not reused."""
+    files = A.table(spark, folder, name).select("_metadata.file_path", "_metadata.file_modification_time")
+    return tuple(sorted(map(tuple, files.distinct().collect())))
 
 
 @lru_cache(maxsize=4)
-def fitted(spark, folder):
-    """Master table, test rows, features and both models; shared by the queries below."""
+def _fitted(spark, folder, files):
     built = wide_master(spark, folder)
     train, test = split.train_test(fix(built.table))
     logistic = models.train_logistic(train, built.features)
-    forest = models.train_forest(train, built.features, trees=QUERY_TREES, depth=QUERY_DEPTH)
-    return built, test, logistic, forest
+    return built, test, logistic, models.train_forest(train, built.features)
+
+
+def fitted(spark, folder):
+    """Master table, test rows, features and both models; shared by the queries below."""
+    return _fitted(spark, folder, version(spark, folder, "embeddings"))
 
 
 def _scored(spark, folder):
@@ -76,21 +80,23 @@ def model_metrics(spark, folder):
 @query("feature_importance")
 def feature_importance(spark, folder):
     built, test, logistic, forest = fitted(spark, folder)
-    return explain.feature_importance(
-        logistic, forest, test, built.features, repeats=QUERY_REPEATS
-    )
+    return explain.feature_importance(logistic, forest, test, built.features)
 
 
 def trained_on(master):
     """Train on a material master written to the checkpoint folder first."""
-    return models.train_and_evaluate(fix(master), QUERY_TREES, QUERY_DEPTH)
+    return models.train_and_evaluate(fix(master))
 
 
 @lru_cache(maxsize=4)
-def _trained(spark, folder):
+def _trained_files(spark, folder, files):
     return trained_on(d1_master(spark, folder))
 
 
+def _trained(spark, folder):
+    return _trained_files(spark, folder, version(spark, folder, "lineitem"))
+
+
 @query("predictions")
 def predictions(spark, folder):
     return _trained(spark, folder).predictions
@@ -154,15 +160,9 @@ def consistent_features(spark, folder):
     return explain.consistent_features(explain.top_features(_ranked(spark, folder)))
 
 
-# A fixed linear scorer over five sensors, missing values read as 0.
-WEIGHTS = {
-    "sensor_000": 1.5,
-    "sensor_001": -2.0,
-    "sensor_002": 0.75,
-    "sensor_004": 3.0,
-    "sensor_006": -0.5,
-}
-REPEATS = 10
+# A fixed linear model over all selected sensors, missing values read as 0.
+WEIGHTS = {name: (2 * (i * 37 % 13) - 13) / 2 for i, name in enumerate(A.SELECTED)}
+REPEATS = explain.REPEATS
 
 
 def _margin(columns: dict[str, str]) -> str:
@@ -185,7 +185,7 @@ LINEAR = {
         "score",
     )
     + ")",
-    "receivers": "SELECT *, row_number() OVER (ORDER BY sample_id) AS at_ FROM t",
+    "receivers": f"SELECT *, {_margin(_PLAIN)} AS margin, row_number() OVER (ORDER BY sample_id) AS at_ FROM t",
     "donors": f"""SELECT repeat, {', '.join(f'{s} AS new_{s}' for s in WEIGHTS)}, row_number()
       OVER (PARTITION BY repeat ORDER BY md5(CAST(sample_id AS VARCHAR) || '|'
         || CAST(repeat AS VARCHAR) || '|42'), sample_id) AS at_
@@ -193,8 +193,8 @@ LINEAR = {
     "paired": "SELECT * FROM receivers JOIN donors USING (at_)",
     "changed": " UNION ALL ".join(
         f"SELECT '{f}' AS feature, repeat, label_binary, "
-        f"{_margin({**_PLAIN, f: f'new_{f}'})} AS score FROM paired"
-        for f in WEIGHTS
+        f"margin + (new_{f} - {f}) * {weight}E0 AS score FROM paired"
+        for f, weight in WEIGHTS.items()
     ),
     "areas": areas_sql("changed", "feature, repeat", "label_binary", "score"),
     "drops": """SELECT 'linear' AS model_name, 'permutation_average_precision' AS importance_type,
@@ -222,11 +222,9 @@ def _linear_test(spark, folder):
     ),
 )
 def permutation_importance(spark, folder):
-    scorer = explain.linear_scorer(WEIGHTS)
+    scorer = rescoring.LinearRescorer(list(WEIGHTS), list(WEIGHTS.values()))
     test = _linear_test(spark, folder)
-    return rounded(
-        explain.permutation_importance(test, list(WEIGHTS), scorer, "linear", repeats=REPEATS)
-    )
+    return rounded(explain.permutation_importance(test, list(WEIGHTS), scorer, "linear"))
 
 
 # Error profile of the test rows, scored by the fixed linear model.

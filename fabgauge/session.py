@@ -1,14 +1,12 @@
-"""Session helpers: reliable checkpoints and small results fixed on the driver."""
+"""Session helpers: tables computed once and kept in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Rows of per-feature, per-model or per-cell tables that may live on the driver.
-SMALL_ROWS = 100_000
-
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named by ``spark.checkpoint.dir``; make one only for a local master."""
@@ -29,21 +27,13 @@ def fix(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """The rows as constant data, or None if there are more than ``max_rows``.
-
-    The result is a local relation, whose known size lets Spark broadcast it in joins.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(head, schema=df.schema)
-
-
-def pin(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Compute a summary table once: as constant data if small, else as a checkpoint.
+def pin(df: DataFrame) -> DataFrame:
+    """Compute a summary table once: written to the checkpoint folder and read back.
 
-    A small one is broadcast in joins, a large one joins by shuffle.
+    The files tell Spark the size of the table, by which it chooses how to join it.
     """
-    constant = small(df, max_rows)
-    return fix(df) if constant is None else constant
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

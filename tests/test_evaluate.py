@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fabgauge.functions.rules import f_beta
-from fabgauge.operators import evaluate, explain, models, split
+from fabgauge.operators import evaluate, explain, models, rescoring, split
 from fabgauge.plans import summary
 from fabgauge.queries import adapters
 from fabgauge.queries.wide import wide_master
@@ -144,20 +144,69 @@ def test_error_profile_groups(spark):
     assert found["all_test_samples", "sensor_001"].missing_count == 1
 
 
-def test_permuted_rows_are_a_permutation(spark):
-    test = spark.range(1, 301).selectExpr("id * 13 AS sample_id", "CAST(id % 2 AS INT) AS label_binary", "id * 1.0D AS a", "id * 2.0D AS b")
-    rows = explain.permuted_rows(test, ["a", "b"], repeats=2)
-    assert rows.count() == 300 * 2 * 2
-    own = test.select("sample_id", F.col("a").alias("own_a"), F.col("b").alias("own_b"))
-    joined = rows.join(own, "sample_id")
-    changed = joined.where("feature = 'a'")
-    assert changed.where("b <> own_b").count() == 0
-    assert changed.where("repeat = 1").select("a").distinct().count() == 300
-    assert changed.where("a <> own_a").count() > 500
-    pairs = joined.groupBy("sample_id", "repeat").agg(
-        F.max(F.expr("IF(feature = 'a', a, NULL)")).alias("a"), F.max(F.expr("IF(feature = 'b', b, NULL)")).alias("b")
-    )
-    assert pairs.where("b <> 2 * a").count() == 0
+def test_permuted_pairs_are_a_permutation(spark):
+    test = spark.range(1, 301).selectExpr("id * 13 AS sample_id")
+    pairs = explain.permuted_pairs(test, repeats=2).collect()
+    assert len(pairs) == 300 * 2
+    for repeat in (1, 2):
+        mine = [(r.sample_id, r._donor) for r in pairs if r.repeat == repeat]
+        assert {a for a, _ in mine} == {b for _, b in mine} == {13 * k for k in range(1, 301)}
+        assert sum(a != b for a, b in mine) > 250
+    assert explain.permuted_pairs(test.limit(0)).collect() == []
+
+
+def plain_permutation(test, features, score, repeats):
+    """Score every row again with one feature of its donor in place, all features at hand."""
+    pairs = explain.permuted_pairs(test, repeats)
+    rows = [f.alias(n) for f, n in ((F.col(f"t.{f}"), f) for f in features)]
+    news = [F.col(f"d.{f}").alias(f"new_{f}") for f in features]
+    both = pairs.join(test.alias("t"), "sample_id").join(test.alias("d"), F.col("_donor") == F.col("d.sample_id"))
+    wide = both.select("repeat", F.col("t.label_binary").alias("label_binary"), *rows, *news)
+    parts = [
+        score(wide.withColumn(f, F.col(f"new_{f}"))).select(F.lit(f).alias("feature"), "repeat", "label_binary", "defect_probability")
+        for f in features
+    ]
+    scores = parts[0]
+    for part in parts[1:]:
+        scores = scores.unionByName(part)
+    return scores
+
+
+@pytest.mark.parametrize("name", ["logistic", "forest", "linear"])
+def test_rescored_rows_equal_scores_of_changed_rows(spark, name):
+    built = wide_master(spark, "/root/testdata/sf0.001")
+    features = built.features[:7]
+    train, test = split.train_test(built.table)
+    test = test.select("sample_id", "label_binary", *features)
+    if name == "linear":
+        weights = {f: k - 2.5 for k, f in enumerate(features)}
+        scorer, score = rescoring.LinearRescorer(features, list(weights.values())), explain.linear_scorer(weights)
+    elif name == "logistic":
+        model = models.train_logistic(train, features)
+        scorer, score = rescoring.LinearRescorer.of(model, features), lambda rows: models.positive_score(model, rows)
+    else:
+        model = models.train_forest(train, features, trees=40, depth=6)
+        scorer, score = rescoring.ForestRescorer.of(model), lambda rows: models.positive_score(model, rows)
+    keep = ["sample_id", "label_binary"]
+    inputs = scorer.inputs(test, keep)
+    plain = {r.sample_id: r.defect_probability for r in scorer.scores(inputs, keep).collect()}
+    for row in score(test).collect():
+        assert plain[row.sample_id] == pytest.approx(row.defect_probability, rel=1e-12, abs=1e-12)
+    others = inputs.select(F.col("sample_id").alias("_donor"), F.col("_values").alias("_other"))
+    paired = explain.permuted_pairs(inputs, 3).join(inputs, "sample_id").join(others, "_donor")
+    changed = scorer.changed(paired, ["repeat", "label_binary"])
+    found = sorted((features[r["_at"]], r.repeat, r.label_binary, r.defect_probability) for r in changed.collect())
+    expected = sorted(tuple(r) for r in plain_permutation(test, features, score, 3).collect())
+    assert len(found) == len(expected) == 3 * 7 * test.count()
+    for one, other in zip(found, expected, strict=True):
+        assert one[:3] == other[:3] and one[3] == pytest.approx(other[3], rel=1e-9, abs=1e-12)
+    # No wide row is left: repeat, label, number of the feature and score.
+    assert changed.columns == ["repeat", "label_binary", "_at", "defect_probability"]
+    areas = evaluate.curve_areas(plain_permutation(test, features, score, 3), ["feature", "repeat"])
+    base = evaluate.curve_areas(score(test).withColumn("g", F.lit(1)), ["g"]).first().average_precision
+    drops = {r.feature: base - r.a for r in areas.groupBy("feature").agg(F.avg("average_precision").alias("a")).collect()}
+    for row in explain.permutation_importance(test, features, scorer, name, repeats=3).collect():
+        assert row.importance == pytest.approx(drops[row.feature], abs=1e-9)
 
 
 def test_models_on_the_sensor_master(spark):
@@ -187,6 +236,14 @@ def test_models_on_the_sensor_master(spark):
     }
 
 
+def test_a_model_that_never_saw_a_defect_has_no_score(spark):
+    train = spark.createDataFrame([(0, float(k)) for k in range(8)], "label_binary int, sensor_000 double")
+    model = models.train_forest(train, ["sensor_000"], trees=2, depth=2)
+    if model.stages[-1].numClasses < 2:
+        with pytest.raises(ValueError, match="without class 1"):
+            models.positive_score(model, train)
+
+
 def test_summary_document(spark):
     folder = "/root/testdata/sf0.001"
     metrics = evaluate.threshold_metrics(adapters.scored(spark, folder))

@@ -223,17 +223,27 @@ def test_duplicates_with_a_hot_row(spark):
     assert duplicate_rows(df, ignore=()).first()[0] == 0
 
 
-def test_duplicates_with_many_repeated_rows(spark, monkeypatch):
-    monkeypatch.setattr("fabgauge.operators.profile.small", lambda df: None)
+def test_duplicates_with_many_repeated_rows(spark):
     rows = [(i, i % 40, "x") for i in range(100)]
     df = spark.createDataFrame(rows, "sample_id long, a int, b string")
     assert duplicate_rows(df).first()[0] == 60
 
 
-def test_pin_keeps_rows_and_falls_back_to_a_checkpoint(spark):
-    df = spark.range(50).withColumn("x", F.col("id") * 0.5)
-    small, large = pin(df), pin(df, max_rows=10)
-    assert small.schema == df.schema
-    assert sorted(small.collect()) == sorted(large.collect()) == sorted(df.collect())
-    assert "LocalTableScan" in small._jdf.queryExecution().executedPlan().toString()
+def test_pin_keeps_rows_of_any_number(spark):
+    df = spark.range(50).withColumns({"x": F.col("id") * 0.5, "y": F.array("id")})
+    for rows in (df, df.limit(0)):
+        pinned = pin(rows)
+        assert pinned.dtypes == rows.dtypes
+        assert sorted(pinned.collect()) == sorted(rows.collect())
+        assert "FileScan parquet" in pinned._jdf.queryExecution().executedPlan().toString()
     assert fix(df).count() == 50
+
+
+def test_pinned_table_is_joined_by_its_size(spark):
+    pinned, rows = pin(spark.range(10)), spark.range(1000)
+    assert "BroadcastHashJoin" in rows.join(pinned, "id")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        assert "SortMergeJoin" in rows.join(pinned, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
