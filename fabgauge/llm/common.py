@@ -38,6 +38,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the table has them already (Spark does not tell upper from lower case)."""
+    taken, chosen = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        chosen.append(name)
+    return chosen
+
+
 def slices(batch: pa.RecordBatch) -> Iterator[list[list]]:
     """The columns of a batch as Python lists, a few rows at a time."""
     for at in range(0, batch.num_rows, SLICE):
@@ -55,23 +66,24 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: st
     """
     spark = df.sparkSession
     buckets = max(4 * partitions(spark), df.count() // 50_000)
-    keys = [*group, "_bucket"]
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(
+    bucket, own, rows, base = fresh(df, "_bucket", "_inside", "_rows", "_base")
+    keys = [*group, bucket]
+    dealt = df.withColumn(bucket, F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    earlier = Window.partitionBy(*group).orderBy(bucket).rowsBetween(
         Window.unboundedPreceding, -1
     )
     totals = (
         dealt.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_base", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .drop("_rows")
+        .agg(F.count(F.lit(1)).alias(rows))
+        .withColumn(base, F.coalesce(F.sum(rows).over(earlier), F.lit(0)))
+        .drop(rows)
     )
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
-        dealt.withColumn("_inside", inside)
+        dealt.withColumn(own, inside)
         .join(totals, keys)
-        .withColumn(name, F.col("_base") + F.col("_inside") - 1)
-        .drop("_bucket", "_inside", "_base")
+        .withColumn(name, F.col(base) + F.col(own) - 1)
+        .drop(bucket, own, base)
     )
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fabgauge.llm.common import numbered, slices, stored
+from fabgauge.llm.common import fresh, numbered, slices, stored
 from fabgauge.llm.tokens import END_ID, worker_encoder
 
 Pattern = tuple[tuple[int, ...], int]
@@ -95,17 +95,17 @@ class _Sums:
                 return found
         return None
 
-    def filling(self, first: int, gap: int) -> tuple[int, ...] | None:
-        """``first`` and the fewest lengths that fill ``gap`` exactly."""
+    def filling(self, first: int, gap: int, most: int) -> tuple[int, ...] | None:
+        """``first`` and the fewest lengths, ``most`` at most, that fill ``gap`` exactly."""
         if gap == 0:
             return (first,)
-        if _times(self.left, (first, gap)):
+        if most >= 1 and _times(self.left, (first, gap)):
             return (first, gap)
-        if self.pairs[gap]:
+        if most >= 2 and self.pairs[gap]:
             if found := self._pair(gap, (first,)):
                 return found
             self.pairs[gap] = False
-        if self.triples[gap]:
+        if most >= 3 and self.triples[gap]:
             ones = np.flatnonzero(self.left[:gap] > 0)
             for one in ones[self.pairs[gap - ones]][::-1]:
                 if found := self._pair(gap - int(one), (first, int(one))):
@@ -114,25 +114,14 @@ class _Sums:
         return None
 
 
-def plan_packing(counts: dict[int, int], capacity: int) -> list[Pattern]:
-    """Contents of sequences and how many sequences have them, from counts of piece lengths.
-
-    From the longest length down, the complement to ``capacity`` is looked up among single lengths,
-    sums of pairs and sums of triples, and as many sequences are closed at once as the available
-    pieces allow. Pieces without an exact complement are then placed, longest first, in the open
-    sequence with the least room that takes them.
-    """
-    left = np.zeros(capacity + 1, np.int64)
-    for length, count in counts.items():
-        if not 0 < length <= capacity:
-            raise ValueError(f"piece of {length} tokens in sequences of {capacity}")
-        left[length] += count
+def _exact(left: np.ndarray, capacity: int, most: int) -> tuple[list[Pattern], np.ndarray]:
+    """Sequences filled exactly, from the longest length down, and the counts of what remains."""
     plan: list[Pattern] = []
     residual = np.zeros_like(left)
     sums = _Sums(left)
     for first in range(capacity, 0, -1):
         while left[first]:
-            found = sums.filling(first, capacity - first)
+            found = sums.filling(first, capacity - first, most)
             if found is None:
                 residual[first] = left[first]
                 left[first] = 0
@@ -141,30 +130,64 @@ def plan_packing(counts: dict[int, int], capacity: int) -> list[Pattern]:
             for length in found:
                 left[length] -= times
             plan.append((found, times))
+    return plan, residual
+
+
+def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
+    """Pieces placed one by one, longest first, in the open sequence with the least room that takes them;
+    all of one length at a time."""
     open_: dict[int, dict[tuple[int, ...], int]] = {}
     for length in range(capacity, 0, -1):
-        count = int(residual[length])
+        count = int(counts[length])
         while count:
             room = min((r for r in open_ if r >= length), default=None)
             if room is None:
-                fit = capacity // length
-                full, rest = divmod(count, fit)
-                for k, times in ((fit, full), (rest, 1)):
-                    if k and times:
-                        bins = open_.setdefault(capacity - k * length, {})
-                        bins[(length,) * k] = bins.get((length,) * k, 0) + times
-                break
-            contents, have = open_[room].popitem()
-            use = min(have, count)
-            if have > use:
-                open_[room][contents] = have - use
-            if not open_[room]:
+                contents, have, room = (), count, capacity
+            else:
+                contents, have = open_[room].popitem()
+            # The least room is filled until it takes no more, then the next sequence of the kind.
+            fit = room // length
+            use = min(have, count // fit)
+            placed = [(use, fit)] if use else [(1, count)]
+            for bins, pieces in placed:
+                inside = open_.setdefault(room - pieces * length, {})
+                name = (*contents, *(length,) * pieces)
+                inside[name] = inside.get(name, 0) + bins
+                count -= bins * pieces
+                have -= bins
+            if contents and have:
+                open_[room][contents] = have
+            if room in open_ and not open_[room]:
                 del open_[room]
-            bins = open_.setdefault(room - length, {})
-            bins[(*contents, length)] = bins.get((*contents, length), 0) + use
-            count -= use
-    plan += [item for bins in open_.values() for item in bins.items()]
-    return plan
+    return [item for bins in open_.values() for item in bins.items()]
+
+
+def plan_packing(counts: dict[int, int], capacity: int) -> list[Pattern]:
+    """Contents of sequences and how many sequences have them, from counts of piece lengths.
+
+    From the longest length down, the complement to ``capacity`` is looked up among single lengths,
+    sums of pairs and sums of triples, and as many sequences are closed at once as the available
+    pieces allow. Pieces without an exact complement are then placed by best fit. Combinations of many
+    pieces spend the short ones that later long pieces need, so complements of up to three, two and one
+    pieces and none are tried in turn, until a plan needs no more sequences than all tokens
+    together; the plan with the fewest is taken, so it never has more than best fit alone.
+    """
+    pieces = np.zeros(capacity + 1, np.int64)
+    for length, count in counts.items():
+        if not 0 < length <= capacity:
+            raise ValueError(f"piece of {length} tokens in sequences of {capacity}")
+        pieces[length] += count
+    least = -(-int((pieces * np.arange(capacity + 1)).sum()) // capacity)
+    best, fewest = [], None
+    for most in (3, 2, 1, 0):
+        plan, residual = _exact(pieces.copy(), capacity, most) if most else ([], pieces)
+        plan = plan + best_fit(residual, capacity)
+        total = sum(times for _, times in plan)
+        if fewest is None or total < fewest:
+            best, fewest = plan, total
+        if fewest == least:
+            break
+    return best
 
 
 def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
@@ -172,9 +195,11 @@ def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
 
     ``pieces`` has doc_id, piece and length from 1 to ``capacity`` and is read several times, so
     give a stored table. Pieces of one length are interchangeable: they are ranked without
-    gathering them, and a rank decides the sequence. Repeated rows are separate pieces. An empty
-    table gives no rows.
+    gathering them, and a rank decides the sequence. Repeated rows are separate pieces, as are those of a null doc_id. An empty
+    table gives no rows. Other columns are kept; sequence_id and offset are replaced.
     """
+    pieces = pieces.drop("sequence_id", "offset")
+    (place,) = fresh(pieces, "_rank")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     # Ranges of ranks, as (length, first rank, first sequence, offset); few, whatever the rows.
     ranges, used, sequence = [], dict.fromkeys(counts, 0), 0
@@ -190,25 +215,25 @@ def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
     lengths, ranks, sequences, offsets = (np.ascontiguousarray(c) for c in table.T)
     begins = np.searchsorted(lengths, np.arange(capacity + 2))
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("_rank").to_numpy(zero_copy_only=False)
+            rank = batch.column(place).to_numpy(zero_copy_only=False)
             at = np.zeros(len(rank), np.int64)
             for one in np.unique(length):
                 mine = length == one
                 low, high = begins[one], begins[one + 1]
                 at[mine] = low + np.searchsorted(ranks[low:high], rank[mine], "right") - 1
-            kept = batch.drop_columns(["_rank"])
+            kept = batch.drop_columns([place])
             yield kept.append_column(
                 "sequence_id", pa.array(sequences[at] + rank - ranks[at])
             ).append_column("offset", pa.array(offsets[at]))
 
-    ranked = numbered(pieces, ["length"], ["doc_id", "piece"], "_rank")
+    ranked = numbered(pieces, ["length"], ["doc_id", "piece"], place)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     columns = pieces.columns
-    return ranked.select(*columns, "_rank").mapInArrow(
-        place, f"{schema}, sequence_id long, offset long"
+    return ranked.select(*columns, place).mapInArrow(
+        placed, f"{schema}, sequence_id long, offset long"
     )
 
 
