@@ -54,7 +54,7 @@ def _masks(items: DataFrame) -> list[str]:
 def _seeds(rows: DataFrame, words: str, masks: list[str], whole: bool, *kept: str) -> DataFrame:
     """One row per mask and position at which the mask fits: kept columns, place, mask and seed. Of the
     rows that are ``whole`` items only those get a seed that the mask is for."""
-    at = rows.select(*kept, F.posexplode(words).alias("place", "_word"))
+    at = rows.select(*kept, words, F.posexplode(words).alias("place", "_word"))
     each = []
     for mask in masks:
         chosen = [F.get(words, F.col("place") + k) for k, c in enumerate(mask) if c == "1"]
@@ -84,7 +84,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     is found wherever the word is. ``equal_words`` is the most equal words of all such ways,
     ``first_word`` the first of them in the document, from 0. Null and empty texts have no words and
     match nothing; rows with null ids are left out; repeated rows count once. Texts are
-    read whole; other columns are ignored.
+    read whole, those with a hit twice; other columns are ignored. Ways to lay one item beside one text
+    are gathered in one row: no more than both have words, however repetitive they are.
     """
     items = stored(
         benchmark.filter("item_id IS NOT NULL").select(
@@ -95,58 +96,71 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     read = docs.filter("doc_id IS NOT NULL").select("doc_id", word_hashes(F.col("text")).alias("words"))
     # Without an item with words any mask will do, as there is nothing to meet.
     masks = _masks(items) or list(_LONG)
-    seeds = _seeds(read, "words", masks, False, "doc_id", "words")
+    key = F.xxhash64("text").alias("digest")
+    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", key, F.col("text").alias("text"))
+    read = texts.select("doc_id", "digest", word_hashes(F.col("text")).alias("words"))
+    seeds = _seeds(read, "words", masks, False, "doc_id", "digest")
     found = None
     for block in _blocks(items):
         # Both sides of at most about BLOCK_WORDS words.
-        index = _seeds(block, "item_words", masks, True, "item_id", "item_words").select(
-            "seed", "mask", "item_id", "item_words", F.col("place").alias("item_place")
+        index = _seeds(block, "item_words", masks, True, "item_id").select(
+            "seed", "mask", "item_id", F.col("place").alias("item_place")
         )
-        keys = index.select("seed", "mask", "item_id", "item_place").distinct()
-        hits = seeds.join(F.broadcast(keys), ["seed", "mask"]).join(F.broadcast(block), "item_id")
-        part = _verified(hits, masks)
+        hits = seeds.join(F.broadcast(index.distinct()), ["seed", "mask"])
+        part = _verified(_shifts(hits), texts, block)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("equal_words").alias("equal_words"), F.min("first_word").alias("first_word")
     )
 
 
-def _verified(hits: DataFrame, masks: list[str]) -> DataFrame:
-    shift = F.col("place") - F.col("item_place")
+def _shifts(hits: DataFrame) -> DataFrame:
+    """The distinct ways to lay an item beside a text that some hit proposes, for each text and item:
+    doc_id, digest, item_id, shifts. No more than both have words, however often the masks fit."""
+    rows = hits.select("doc_id", "digest", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
+    ways = rows.groupBy("doc_id", "digest", "item_id").agg(F.collect_set("shift").alias("shifts"))
+    return stored(ways, "benchmark-hits")
+
+
+def _verified(shifts: DataFrame, texts: DataFrame, items: DataFrame) -> DataFrame:
+    """Lay the items beside the texts, which are only now read again, as one row per text and item.
+
+    The words are bound by a lambda, so that they are split and hashed once for each row.
+    """
     size = F.size("item_words")
-    # A hit right after another one of the same mask and item place shows nothing new.
-    after = F.lit(False)
-    for number, mask in enumerate(masks):
-        same = F.col("item_place") > 0
-        for k, c in enumerate(mask):
-            if c == "1":
-                same &= F.coalesce(
-                    F.get("words", F.col("place") - 1 + k) == F.get("item_words", F.col("item_place") - 1 + k),
-                    F.lit(False),
-                )
-        after |= (F.col("mask") == number) & same
-    equal = F.transform(
-        "item_words",
-        lambda w, i: F.coalesce((F.get("words", F.col("shift") + i) == w).cast("int"), F.lit(0)),
-    )
     width = F.least(F.lit(WINDOW), size)
     need = F.ceil(width * SHARE)
-    good = F.exists(
-        F.sequence(F.lit(0), size - width),
-        lambda s: F.aggregate(F.slice("equal", s + 1, width), F.lit(0), lambda a, x: a + x) >= need,
-    )
-    return (
-        hits.filter(~after)
-        .withColumn("shift", shift)
-        .withColumn("equal", equal)
-        .filter(good)
-        .select(
-            "doc_id",
-            "item_id",
-            F.aggregate("equal", F.lit(0), lambda a, x: a + x).cast("long").alias("equal_words"),
-            (F.col("shift") + F.array_position("equal", 1) - 1).cast("long").alias("first_word"),
-        )
-    )
+
+    def laid(words: Column) -> Column:
+        def equal(shift: Column, at: Column) -> Column:
+            same = F.get(words, shift + at) == F.get("item_words", at)
+            return F.coalesce(same.cast("int"), F.lit(0))
+
+        def count(shift: Column, first: Column, long: Column) -> Column:
+            places = F.sequence(first, first + long - 1)
+            return F.aggregate(places, F.lit(0), lambda a, k: a + equal(shift, k))
+
+        def holds(shift: Column) -> Column:
+            return F.exists(F.sequence(F.lit(0), size - width), lambda k: count(shift, k, width) >= need)
+
+        def first(shift: Column) -> Column:
+            return F.aggregate(
+                F.sequence(F.lit(0), size - 1),
+                F.lit(None).cast("int"),
+                lambda a, k: F.coalesce(a, F.when(equal(shift, k) == 1, shift + k)),
+            )
+
+        def summed(good: Column) -> Column:
+            return F.struct(
+                F.array_max(F.transform(good, lambda s: count(s, F.lit(0), size))).cast("long").alias("equal_words"),
+                F.array_min(F.transform(good, first)).cast("long").alias("first_word"),
+            )
+
+        return F.get(F.transform(F.array(F.filter("shifts", holds)), summed), F.lit(0))
+
+    pairs = shifts.join(texts, ["doc_id", "digest"]).join(F.broadcast(items), "item_id")
+    found = F.inline(F.transform(F.array(word_hashes(F.col("text"))), laid))
+    return pairs.select("doc_id", "item_id", found).filter("equal_words IS NOT NULL")
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
