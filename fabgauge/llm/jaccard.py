@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fabgauge.llm.common import SLICE, numbered, partitions, sorted_unique, stored
+from fabgauge.llm.common import SLICE, fresh, numbered, partitions, sorted_unique, stored
 from fabgauge.llm.components import components
 
 # Two documents link if 100 * common >= PERCENT * union.
@@ -529,10 +529,18 @@ def _bounded(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return pairs.filter(~single).unionByName(checked.distinct())
 
 
+# Columns that ``keep_first`` adds for a while.
+_OWN = ["_key", "_digest", "_new"]
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each component, that of its smallest doc_id, with all columns of ``docs``; of rows
     with the same id and text one stays. Rows with a null id are all kept. Different texts of one id
     are documents of their own: each stays or goes by its own links."""
+    names = docs.columns
+    clash = {n: new for n, new in zip(_OWN, fresh(docs, *_OWN), strict=True) if n != new}
+    if clash:
+        return keep_first(docs.withColumnsRenamed(clash)).withColumnsRenamed({v: k for k, v in clash.items()}).select(*names)
     repeated = stored(
         docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"),
         "repeated-ids",

@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import example, given, settings
 from hypothesis import strategies as st
@@ -116,6 +119,54 @@ def test_packing_plan_uses_every_piece(counts):
     assert used == counts
 
 
+def best_fit_sequences(counts, capacity):
+    """Plain best fit by decreasing length, piece by piece."""
+    rooms = []
+    for length in sorted((n for n, k in counts.items() for _ in range(k)), reverse=True):
+        fits = [r for r in rooms if r >= length]
+        room = min(fits, default=capacity)
+        if fits:
+            rooms.remove(room)
+        rooms.append(room - length)
+    return len(rooms)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(8, 60), st.data())
+def test_packing_never_needs_more_than_best_fit(capacity, data):
+    counts = data.draw(st.dictionaries(st.integers(1, capacity), st.integers(1, 9), max_size=20))
+    histogram = np.zeros(capacity + 1, np.int64)
+    for length, count in counts.items():
+        histogram[length] = count
+    plain = best_fit_sequences(counts, capacity)
+    assert sum(n for _, n in packing.best_fit(histogram, capacity)) == plain
+    assert sum(n for _, n in packing.plan_packing(counts, capacity)) <= plain
+
+
+@pytest.mark.parametrize(("folder", "most"), [("sf0.001", 193), ("sf0.01", 964), ("sf0.1", 9871)])
+def test_packing_of_the_tables(folder, most):
+    path = Path(f"/root/testdata/{folder}/documents.parquet")
+    if not path.exists():
+        pytest.skip("test tables not present")
+    counts = {}
+    for ids in Encoder(default_tokenizer()).documents(pq.read_table(path)["text"].to_pylist(), 2):
+        first = len(ids) % 1024 or min(1024, len(ids))
+        counts[first] = counts.get(first, 0) + 1
+        if len(ids) > first:
+            counts[1024] = counts.get(1024, 0) + (len(ids) - first) // 1024
+    assert sum(n for _, n in packing.plan_packing(counts, 1024)) <= most
+
+
+def test_packing_replaces_clashing_columns(spark):
+    rows = [(k, 0, 1 + k % 7, "a", "b", "c", "d", "e") for k in range(40)]
+    names = "doc_id long, piece int, length long, sequence_id string, Offset string, _rank string, _bucket string, _base string"
+    packed = packing.pack_pieces(spark.createDataFrame(rows, names), 8)
+    assert packed.columns == ["doc_id", "piece", "length", "_rank", "_bucket", "_base", "sequence_id", "offset"]
+    assert {r._rank + r._bucket + r._base for r in packed.collect()} == {"cde"}
+    ends = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.expr("offset + length")).alias("end"))
+    assert ends.filter("n <> end OR n > 8").count() == 0
+
+
 def test_complements_are_exact():
     assert packing.plan_packing({700: 5, 300: 5, 24: 5}, 1024) == [((700, 300, 24), 5)]
     assert packing.plan_packing({600: 2, 300: 2, 100: 2, 24: 2}, 1024) == [((600, 300, 100, 24), 2)]
@@ -215,6 +266,14 @@ def test_one_of_each_group_stays(docs):
     assert names.count(7) == 1 and names.count(None) == 2
 
 
+def test_one_of_each_group_stays_with_clashing_columns(spark, docs):
+    named = docs.withColumnsRenamed({"lang": "_key", "source": "_digest", "score": "_new"})
+    kept = jaccard.keep_first(named)
+    assert kept.columns == named.columns
+    plain = sorted(map(repr, (tuple(r) for r in jaccard.keep_first(docs).collect())))
+    assert sorted(map(repr, (tuple(r) for r in kept.collect()))) == plain
+
+
 def test_every_text_of_a_repeated_id_is_judged(spark):
     a, b, c, d, e = (prose(300 + k, 60) for k in range(5))
     rows = [(1, a), (5, a), (5, b), (2, c), (2, d), (3, c), (4, d), (3, c), (6, e), (6, e), (9, ""), (9, None), (None, a)]
@@ -265,6 +324,56 @@ def test_leaks_with_replaced_words(spark, docs, empty):
     assert decontaminate.remove_contaminated(docs, nothing).count() == docs.count()
 
 
+def plain_leaks(texts, items):
+    """(doc_id, item_id, most equal words, first of them) by laying every item at every place."""
+    found = set()
+    for d, text in texts.items():
+        words = text.split()
+        for i, item in items.items():
+            ways = []
+            wanted = item.split()
+            width = min(decontaminate.WINDOW, len(wanted))
+            for shift in range(1 - len(wanted), len(words)):
+                same = [0 <= shift + k < len(words) and words[shift + k] == w for k, w in enumerate(wanted)]
+                if any(sum(same[k : k + width]) >= width * decontaminate.SHARE for k in range(len(wanted) - width + 1)):
+                    ways.append((sum(same), shift + same.index(True)))
+            if ways:
+                found.add((d, i, max(w[0] for w in ways), min(w[1] for w in ways)))
+    return found
+
+
+def test_leaks_of_long_items_equal_brute_force(spark):
+    rng = random.Random(8)
+    items = {n: " ".join(rng.choices("abcdefghijklmnopqrst"[: rng.choice([3, 8, 20])], k=n)) for n in range(15, 61, 5)}
+    texts = {}
+    for d in range(60):
+        words = rng.choices("abcdefghijklmnopqrst", k=rng.randint(0, 40))
+        for _ in range(rng.randint(0, 2)):
+            copy = rng.choice(list(items.values())).split()
+            copy = copy[rng.randint(0, 5) : rng.randint(10, 60)]
+            for k in range(len(copy)):
+                if rng.random() < 0.2:
+                    copy[k] = rng.choice("xyz")
+            words += copy + rng.choices("uvw", k=rng.randint(0, 6))
+        texts[d] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontaminate.find_contamination(docs, benchmark).collect()
+    expected = plain_leaks(texts, items)
+    assert {tuple(r) for r in found} == expected and len(expected) > 20
+
+
+def test_leaks_of_very_repetitive_texts(spark):
+    phrase = "one two three four five "
+    rows = [(1, phrase * 40_000), (2, "again " * 60_000), (3, " ".join(f"w{k}" for k in range(50_000)))]
+    benchmark = spark.createDataFrame([(1, phrase * 8), (2, "again " * 40)], "item_id long, text string")
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string")
+    start = time.time()
+    found = decontaminate.find_contamination(docs, benchmark).collect()
+    assert {tuple(r) for r in found} == {(1, 1, 40, 0), (2, 2, 40, 0)}
+    assert time.time() - start < 120
+
+
 def accepted_patterns(size, least_only=False):
     """Bits of the equal words of items of a size, for all ways that the rule accepts."""
     width = min(decontaminate.WINDOW, size)
