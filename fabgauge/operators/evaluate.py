@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabgauge.functions.columns import require_columns
 from fabgauge.functions.rules import check_open_unit, f_beta, predicted_label, safe_ratio
 from fabgauge.operators.ordered import cell_offsets, cut_points, with_cell, with_rank
 from fabgauge.session import pin
@@ -20,6 +21,12 @@ ONE_CLASS_TEST_WARNING = (
     "official test split contains one class only; average_precision and roc_auc are null"
 )
 
+# Columns of a metric table, in order, after those that name the model.
+METRIC_COLUMNS = [
+    "threshold", "accuracy", "precision", "recall", "f1", "f2", "average_precision", "roc_auc",
+    "true_positive", "false_positive", "true_negative", "false_negative", "warnings",
+]
+
 LABEL = "label_binary"
 SCORE = "defect_probability"
 
@@ -132,6 +139,13 @@ def classification_metrics(
     )
 
 
+def metric_table(metrics: DataFrame) -> DataFrame:
+    """The columns of a metric table in their order, whatever wrote it; a missing one is an error."""
+    require_columns(metrics, METRIC_COLUMNS, "Metric table")
+    before = [c for c in metrics.columns if c not in METRIC_COLUMNS]
+    return metrics.select(*before, *METRIC_COLUMNS)
+
+
 def threshold_metrics(
     scored: DataFrame,
     thresholds: Sequence[float] = THRESHOLDS,

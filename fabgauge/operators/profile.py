@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import sensor_columns
@@ -13,6 +13,8 @@ from fabgauge.functions.rules import safe_ratio
 from fabgauge.session import fix
 
 MELT_BATCH = 64
+# Columns whose aggregates are computed together, few enough for generated code.
+FACT_BATCH = 16
 
 
 def melt(df: DataFrame, features: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -36,18 +38,37 @@ def per_feature(df: DataFrame, features: Sequence[str], counts: DataFrame) -> Da
     return names.join(F.broadcast(counts), "feature", "left")
 
 
+def column_facts(
+    df: DataFrame, features: Sequence[str], facts: Mapping[str, Callable[[str], Column]]
+) -> DataFrame:
+    """``feature, rows`` and an aggregate of each column per fact, also for an empty table.
+
+    Every row is read once per batch of columns, of which a scan takes no others, and only one
+    row per task is shuffled: nothing is melted or grouped by value.
+    """
+    parts = []
+    for start in range(0, max(1, len(features)), FACT_BATCH):
+        batch = list(enumerate(features[start : start + FACT_BATCH]))
+        cells = [e(name).alias(f"{fact}_{i}") for i, name in batch for fact, e in facts.items()]
+        totals = df.agg(F.count(F.lit(1)).alias("rows"), *cells)
+        rows = [
+            F.struct(F.lit(name).alias("feature"), "rows", *[F.col(f"{fact}_{i}").alias(fact) for fact in facts])
+            for i, name in batch
+        ]
+        if rows:
+            parts.append(totals.select(F.inline(F.array(*rows))))
+    if not parts:
+        raise ValueError("no features to look at")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def missing_values(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """Per sensor: ``feature, missing_count, missing_ratio``."""
     names = sensor_columns(df) if features is None else list(features)
-    cells = melt(df, names).groupBy("feature")
-    counts = cells.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("value").isNull()).alias("missing")
-    )
-    missing = F.coalesce("missing", F.lit(0))
-    return per_feature(df, names, counts).select(
-        "feature",
-        missing.alias("missing_count"),
-        safe_ratio(missing, F.coalesce("rows", F.lit(0))).alias("missing_ratio"),
+    counts = column_facts(df, names, {"present": F.count})
+    missing = F.col("rows") - F.col("present")
+    return counts.select(
+        "feature", missing.alias("missing_count"), safe_ratio(missing, F.col("rows")).alias("missing_ratio")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import require_columns, sensor_columns
@@ -16,38 +16,53 @@ from fabgauge.functions.rules import (
     recommended_action,
     safe_ratio,
 )
-from fabgauge.operators.profile import melt, per_feature
+from fabgauge.operators.profile import column_facts, melt, per_feature
 from fabgauge.session import pin
 
 
+def _graded(counts: DataFrame, constant: Column, *more: str) -> DataFrame:
+    missing = F.col("rows") - F.col("non_null_count")
+    ratio = safe_ratio(missing, F.col("rows"))
+    return counts.select(
+        "feature",
+        missing.alias("missing_count"),
+        ratio.alias("missing_ratio"),
+        "non_null_count",
+        *more,
+        constant.alias("is_constant"),
+        missing_bucket(ratio).alias("missing_bucket"),
+        recommended_action(constant, ratio).alias("recommended_action"),
+    )
+
+
+def feature_grades(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """Missing counts, constancy, bucket and action per sensor, without counting distinct values.
+
+    A sensor is constant if its least value is its greatest, so one row per task is all that moves.
+    """
+    names = sensor_columns(df) if features is None else list(features)
+    facts = {"non_null_count": F.count, "one_value": lambda c: F.min(c) == F.max(c)}
+    counts = column_facts(df, names, facts)
+    return _graded(counts, F.coalesce("one_value", F.lit(True)))
+
+
 def feature_quality(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """Missing counts, exact distinct count, constancy, bucket and action per sensor.
+    """The grades with the exact number of distinct values per sensor.
 
     The first grouping is by feature and value and combines before its shuffle, so it spreads
-    over all tasks even with few sensors; the second one adds up one row per feature and task.
+    over all tasks even with few sensors; the second one adds up one row per feature and task. Where
+    only grades are needed, ``feature_grades`` does without both.
     """
     names = sensor_columns(df) if features is None else list(features)
     values = melt(df, names).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     present = F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
     counts = values.groupBy("feature").agg(
-        F.sum("n").alias("row_count"),
+        F.sum("n").alias("rows"),
         present.alias("non_null_count"),
         F.count("value").alias("unique_non_null_count"),
     )
     counts = per_feature(df, names, counts).fillna(0)
-    missing = F.col("row_count") - F.col("non_null_count")
-    ratio = safe_ratio(missing, F.col("row_count"))
-    constant = F.col("unique_non_null_count") <= 1
-    return counts.select(
-        "feature",
-        missing.alias("missing_count"),
-        ratio.alias("missing_ratio"),
-        "non_null_count",
-        "unique_non_null_count",
-        constant.alias("is_constant"),
-        missing_bucket(ratio).alias("missing_bucket"),
-        recommended_action(constant, ratio).alias("recommended_action"),
-    )
+    return _graded(counts, F.col("unique_non_null_count") <= 1, "unique_non_null_count")
 
 
 def counts_on_domain(df: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from fabgauge.operators import evaluate, explain, impute, models, rescoring, split
+from fabgauge.plans.wide_run import run_wide_branch
 from fabgauge.queries import adapters as A
 from fabgauge.queries.events import d1_master
 from fabgauge.queries.registry import query, rounded, rounded_sql, with_tables
@@ -22,65 +23,65 @@ def version(spark, folder, name):
 
 
 @lru_cache(maxsize=4)
-def _fitted(spark, folder, files):
-    built = wide_master(spark, folder)
-    train, test = split.train_test(fix(built.table))
-    logistic = models.train_logistic(train, built.features)
-    return built, test, logistic, models.train_forest(train, built.features)
+def _run(spark, folder, files):
+    return run_wide_branch(wide_master(spark, folder))
 
 
-def fitted(spark, folder):
-    """Master table, test rows, features and both models; shared by the queries below."""
-    return _fitted(spark, folder, version(spark, folder, "embeddings"))
-
-
-def _scored(spark, folder):
-    _, test, logistic, forest = fitted(spark, folder)
-    tables = {
-        models.LOGISTIC: models.positive_score(logistic, test),
-        models.FOREST: models.positive_score(forest, test),
-    }
-    return fix(evaluate.stack(tables, "model_name"))
+def wide_run(spark, folder):
+    """Both models and their scores; shared by the queries below."""
+    return _run(spark, folder, version(spark, folder, "embeddings"))
 
 
 @query("train_logistic")
 def train_logistic(spark, folder):
-    built, _, logistic, _ = fitted(spark, folder)
-    return explain.coefficient_importance(logistic, built.features)
+    run = wide_run(spark, folder)
+    return explain.coefficient_importance(run.models[models.LOGISTIC], run.features)
 
 
 @query("train_forest")
 def train_forest(spark, folder):
-    built, _, _, forest = fitted(spark, folder)
-    return explain.impurity_importance(forest, built.features)
+    run = wide_run(spark, folder)
+    return explain.impurity_importance(run.models[models.FOREST], run.features)
 
 
 @query("coefficient_importance")
 def coefficient_importance(spark, folder):
-    built, _, logistic, _ = fitted(spark, folder)
-    return explain.top_features(explain.coefficient_importance(logistic, built.features))
+    return explain.top_features(train_logistic(spark, folder))
 
 
 @query("impurity_importance")
 def impurity_importance(spark, folder):
-    built, _, _, forest = fitted(spark, folder)
-    return explain.top_features(explain.impurity_importance(forest, built.features))
+    return explain.top_features(train_forest(spark, folder))
 
 
 @query("positive_score")
 def positive_score(spark, folder):
-    return _scored(spark, folder).select("model_name", "sample_id", "label_binary", models.SCORE)
+    return wide_run(spark, folder).scored.select("model_name", "sample_id", "label_binary", models.SCORE)
 
 
 @query("model_metrics")
 def model_metrics(spark, folder):
-    return evaluate.classification_metrics(_scored(spark, folder))
+    return wide_run(spark, folder).metrics()
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
-    built, test, logistic, forest = fitted(spark, folder)
-    return explain.feature_importance(logistic, forest, test, built.features)
+    return wide_run(spark, folder).importance()
+
+
+@query("wide_branch_thresholds")
+def wide_branch_thresholds(spark, folder):
+    return wide_run(spark, folder).thresholds()
+
+
+@query("wide_branch_missed_defects")
+def wide_branch_missed_defects(spark, folder):
+    return wide_run(spark, folder).missed_defects()
+
+
+@query("wide_branch_error_profile")
+def wide_branch_error_profile(spark, folder):
+    return wide_run(spark, folder).error_profile()
 
 
 def trained_on(master):

@@ -206,7 +206,7 @@ def recommended_action_query(spark, folder):
 def select_features(spark, folder):
     wide = A.sensor_wide(spark, folder)
     long = profile.melt(wide, A.SENSORS, ["sample_id"])
-    kept = quality.selected_values(long, quality.feature_quality(wide))
+    kept = quality.selected_values(long, quality.feature_grades(wide))
     return rounded(kept.select("sample_id", "feature", "value"))
 
 
@@ -494,7 +494,7 @@ MASTER_SQL = f"""SELECT sample_id, CAST(NULL AS VARCHAR) AS timestamp, label AS
 
 def wide_master(spark, folder):
     wide = A.sensor_wide(spark, folder)
-    return master.build_master(wide, quality.feature_quality(wide))
+    return master.build_master(wide, quality.feature_grades(wide))
 
 
 @query("modeling_master", rounded_sql(with_tables(MASTER_TABLES, MASTER_SQL), A.SELECTED))
@@ -513,4 +513,4 @@ def modeling_master(spark, folder):
 )
 def feature_set(spark, folder):
     wide = A.sensor_wide(spark, folder)
-    return rounded(master.build_feature_set(wide, quality.feature_quality(wide)).table)
+    return rounded(master.build_feature_set(wide, quality.feature_grades(wide)).table)

@@ -1,11 +1,15 @@
 """Profiles, grades and master tables on small hand-made sensor tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import WIDE_LINEAGE_COLUMNS, missing_columns, sensor_columns
 from fabgauge.functions.columns import reject_metadata_features, statistic_columns
-from fabgauge.operators import contracts, impute, profile, quality, split
+from fabgauge.operators import contracts, evaluate, impute, profile, quality, split
 from fabgauge.plans import master, summary
+from fabgauge.plans.wide_run import run_wide_branch
+from fabgauge.queries import adapters
+from fabgauge.queries.wide import wide_master
 
 SAMPLES = "sample_id long, sensor_000 double, sensor_001 double, sensor_002 double, label int, timestamp string"
 
@@ -179,3 +183,50 @@ def test_schema_helpers(spark):
     assert statistic_columns(["feature_2", "feature_10"], ["mean"]) == ["feature_10_mean", "feature_2_mean"]
     with pytest.raises(ValueError, match="label"):
         reject_metadata_features(["sensor_000", "label"], ["label"])
+
+
+def test_grades_equal_those_with_distinct_counts(spark):
+    wide = adapters.sensor_wide(spark, "/root/testdata/sf0.001")
+    odd = wide.withColumns({"sensor_000": F.lit(None).cast("double"), "sensor_001": F.when(F.col("sample_id") == 1, -0.0).otherwise(0.0)})
+    for table in (odd, odd.limit(1), odd.limit(0)):
+        full = quality.feature_quality(table).drop("unique_non_null_count")
+        assert sorted(quality.feature_grades(table).collect()) == sorted(full.collect())
+    plan = quality.feature_grades(wide)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "hashpartitioning" not in plan
+
+
+def test_wide_branch_as_one_call(spark):
+    built = wide_master(spark, "/root/testdata/sf0.001")
+    few = master.Master(built.table, built.features[:5], built.medians)
+    run = run_wide_branch(few, trees=4, depth=3)
+    rows = run.test.count()
+    assert run.scored.count() == 2 * rows
+    metrics = {r.model_name: r for r in run.metrics().collect()}
+    assert set(metrics) == {"logistic_regression", "random_forest"}
+    grid = run.thresholds().where("abs(threshold - 0.5) < 1e-9").collect()
+    for r in grid:
+        m = metrics[r.model_name]
+        counts = (m.true_positive, m.false_positive, m.true_negative, m.false_negative)
+        assert counts == (r.tp, r.fp, r.tn, r.fn) and sum(counts) == rows
+    missed = run.missed_defects().where("threshold_type = 'default_0.5'").groupBy("model_name").count().collect()
+    assert {r[0]: r[1] for r in missed} == {n: m.false_negative for n, m in metrics.items() if m.false_negative}
+    assert run.top_risk().agg(F.max("rank")).first()[0] == rows
+    profile_rows = run.error_profile().where("group_name = 'all_test_samples'").collect()
+    assert {r.feature for r in profile_rows} == set(few.features) and {r.sample_count for r in profile_rows} == {rows}
+    assert run.importance(repeats=1).count() == 4 * 5
+
+
+def test_wide_branch_refuses_what_it_cannot_judge(spark):
+    rows = [(i, i % 2, "train" if i < 8 else "test", float(i)) for i in range(12)]
+    table = spark.createDataFrame(rows, "sample_id long, label_binary int, split string, sensor_000 double")
+    with pytest.raises(ValueError, match="Metadata columns"):
+        run_wide_branch(master.Master(table, ["sensor_000", "timestamp"], {}))
+    for part in ("train", "test"):
+        one = table.where(f"split <> '{part}' OR label_binary = 0")
+        with pytest.raises(ValueError, match="both classes"):
+            run_wide_branch(master.Master(one, ["sensor_000"], {}))
+    scored = spark.createDataFrame([("m", 1, 0.5)], "model_name string, label_binary int, defect_probability double")
+    metrics = evaluate.classification_metrics(scored)
+    assert evaluate.metric_table(metrics.select(*reversed(metrics.columns))).columns == metrics.columns
+    with pytest.raises(ValueError, match="Metric table is missing required columns: ..recall"):
+        evaluate.metric_table(metrics.drop("recall"))
