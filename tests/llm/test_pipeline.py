@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from fabgauge.llm.common import stored
 from fabgauge.llm.queries import ORACLES
 from tests.oracle import connect, differences
 
@@ -33,6 +34,28 @@ def test_stages(spark):
     assert all(stage(spark, docs.limit(0), FOLDER).count() == 0 for _, stage in corpus_pipeline.STAGES)
 
 
+def test_stages_keep_awkward_rows_and_names(spark):
+    """Nulls, ties, repeats, a very long text and columns named like those the stages make."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    added = ["Score", "_kept_score", "lang_pred", "_key", "_digest", "words", "shifts", "label", "sequence_id"]
+    odd = [(10**6, None), (10**6 + 1, ""), (None, "no id"), (None, None), (10**6 + 2, "same words " * 30_000)]
+    extra = spark.createDataFrame([(i, t) for i, t in odd], "doc_id long, text string")
+    rows = docs.unionByName(extra, allowMissingColumns=True).unionByName(docs.limit(5))
+    rows = rows.withColumns({name: F.lit(name) for name in added})
+    kept = rows
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stored(stage(spark, kept, FOLDER), name)
+        assert kept.columns == rows.columns
+        wrong = " OR ".join(f"`{c}` <> '{c}'" for c in added)
+        assert kept.filter(wrong).count() == 0 < kept.count()
+        if name == "near_duplicates":
+            assert kept.filter("doc_id IS NOT NULL").groupBy("doc_id", "text").count().filter("count > 1").count() == 0
+    pieces = corpus_pipeline.STAGES[-1][1](spark, kept, FOLDER)
+    ends = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.expr("offset + length")).alias("end"))
+    assert ends.filter("n <> end OR n > 1024").count() == 0
+    assert pieces.filter("piece = 0").count() == kept.count()
+
+
 FOREIGN = [
     "nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita ahi quanto a "
     "dir qual era e cosa dura esta selva selvaggia e aspra e forte che nel pensier rinova la paura",
