@@ -2,13 +2,15 @@
 
 1. Documents with equal sets are one class. Classes that share a band of minimum hashes are compared
    with the first class of the band; those found linked form groups of similar documents.
-2. Each group stores the union of its members' tokens. Only tokens that can decide are stored:
+2. Each group stores the deciding tokens of its members, not all of them:
    if two sets are similar enough, they share one of the first tokens (rarest first) of each.
    An entry also says how large a set its token can still lead to; groups without a common entry
    that allows both sizes can't hold linked documents and are never opened.
-3. The other pairs of groups are opened: members of the smaller one are bounded against the token
-   union of each cell of the larger one, and compared with its members only if that allows a link.
+3. The other pairs of groups are opened. The task that opens one reads the texts of its members, cell by
+   cell, builds the union of a cell's tokens, and compares members of the smaller group with those of
+   the cell only if their overlap with the union allows a link.
 
+This departs from a matrix of stored unions: no union is kept, and the bound by it comes after opening.
 A group is connected already, so one link into it is enough, and no pair inside it is looked at.
 Hashes are 64 bits wide; equal hashes are taken for equal words and shingles.
 """
