@@ -134,6 +134,11 @@ def _by_material_packed(df: DataFrame, blocks: Sequence[Sequence[Column]]) -> Da
     return reduce(lambda left, right: left.join(right, "material_id"), parts)
 
 
+def means_by_step(df: DataFrame, features: Sequence[str], *others: Column) -> DataFrame:
+    """The mean of each feature per material and step, with further aggregates first."""
+    return _by_step(df, [*others, *[F.avg(f).alias(f) for f in features]])
+
+
 def step_means(df: DataFrame, features: Sequence[str], steps: Sequence) -> DataFrame:
     """One column per feature and step with the mean; no value where a step did not occur.
 
@@ -141,7 +146,7 @@ def step_means(df: DataFrame, features: Sequence[str], steps: Sequence) -> DataF
     """
     if not features or not steps:
         return _known(df).select(F.col("MaterialID").alias("material_id")).distinct()
-    per_step = _by_step(df, [F.avg(f).alias(f) for f in features])
+    per_step = means_by_step(df, features)
     turned = per_step.groupBy("material_id").pivot("StepID", list(steps))
     wide = turned.agg(*[F.first(f).alias(f) for f in features])
     # Spark names a pivoted column by its step alone when there is one aggregate.
@@ -167,24 +172,41 @@ def material_master(
     require_columns(df, EVENT_REQUIRED_COLUMNS, "Event table")
     features = event_features(df)
     steps = observed_steps(df) if steps is None else list(steps)
+    master = statistics_by_material(df, features).join(step_means(df, features, steps), "material_id")
+    columns = [step_column(f, s) for f in features for s in steps]
+    return stamped_master(master, features, columns, dataset_id, sequence_manifest_path, lineage)
+
+
+def statistics_by_material(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Base, duration and feature columns of a material master, without its lineage."""
     blocks = [[*base_aggregates(), *duration_aggregates()]]
     blocks += [feature_aggregates([f]) for f in features]
     counts = material_base(df).select("material_id", "step_count")
-    master = _by_material_packed(df, blocks).join(counts, "material_id")
-    master = master.join(step_means(df, features, steps), "material_id")
-    master = master.withColumns(
+    return _by_material_packed(df, blocks).join(counts, "material_id")
+
+
+def stamped_master(
+    master: DataFrame,
+    features: Sequence[str],
+    step_columns: Sequence[str],
+    dataset_id: str,
+    sequence_manifest_path: str,
+    lineage: Mapping[str, str],
+) -> DataFrame:
+    """Add the lineage and put the columns in order: metadata, duration, features, steps."""
+    stamped = master.withColumns(
         {
             "dataset_id": F.lit(dataset_id),
             **{name: F.lit(value) for name, value in lineage.items()},
             "sequence_manifest_path": F.lit(sequence_manifest_path),
         }
     )
-    return master.select(
+    return stamped.select(
         *MATERIAL_METADATA_COLUMNS,
         *statistic_columns(["duration_ms"], ["min", "max", "mean", "std", "missing_ratio"]),
         *statistic_columns(features, STATISTICS),
         *[f"{f}_missing_ratio" for f in features],
-        *[step_column(f, s) for f in features for s in steps],
+        *step_columns,
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import event_features, material_features, statistic_columns
 from fabgauge.functions.rules import coerce_numeric, missing_as_label, official_split
-from fabgauge.operators import contracts, events, materials, models
+from fabgauge.operators import contracts, events, materials, models, step_vectors
 from fabgauge.plans import summary
 from fabgauge.queries import adapters as A
 from fabgauge.queries.registry import query, rounded, rounded_sql, with_tables
@@ -330,6 +330,57 @@ def step_mean_pivot(spark, folder):
     )
 
 
+_STEP_ENTRIES = """SELECT MaterialID AS material_id, StepID, max(is_test) AS is_test,
+  '{0}' AS feature, avg({0}) AS value FROM e GROUP BY MaterialID, StepID
+  HAVING count({0}) > 0"""
+_STEP_VECTORS = {
+    "e": A.MANY_STEP_EVENTS_SQL,
+    "entries": " UNION ALL ".join(_STEP_ENTRIES.format(f) for f in FEATURES),
+    "n": "SELECT count(DISTINCT MaterialID) AS n FROM e WHERE is_test = 0",
+    "medians": """SELECT feature, StepID, median(value) AS median FROM entries
+      WHERE is_test = 0 GROUP BY feature, StepID""",
+    "spread": """SELECT feature, StepID, median, sum((value - median) * (value - median)) / max(n)
+        - (sum(value - median) / max(n)) * (sum(value - median) / max(n)) AS variance
+      FROM entries JOIN medians USING (feature, StepID) CROSS JOIN n
+      WHERE is_test = 0 GROUP BY feature, StepID, median""",
+    "positions": """SELECT feature, StepID, median,
+        CAST(row_number() OVER (ORDER BY feature, StepID) - 1 AS INTEGER) AS position,
+        CASE WHEN variance > 0 THEN sqrt(variance) ELSE 1.0E0 END AS scale FROM spread""",
+}
+
+
+@query(
+    "step_positions_many_steps",
+    rounded_sql(
+        with_tables(
+            _STEP_VECTORS, "SELECT feature, StepID, position, median, scale FROM positions"
+        ),
+        ["median", "scale"],
+    ),
+)
+def step_positions_many_steps(spark, folder):
+    rows = A.many_step_events(spark, folder)
+    return rounded(step_vectors.fitted_steps(rows, event_features(rows))[1])
+
+
+@query(
+    "step_vectors_many_steps",
+    rounded_sql(
+        with_tables(
+            _STEP_VECTORS,
+            """SELECT material_id, position, (value - median) / scale AS value
+            FROM entries JOIN positions USING (feature, StepID)""",
+        ),
+        ["value"],
+    ),
+)
+def step_vectors_many_steps(spark, folder):
+    rows = A.many_step_events(spark, folder)
+    cells = step_vectors.step_cells(*step_vectors.fitted_steps(rows, event_features(rows)))
+    pairs = F.inline(F.arrays_zip(F.col("positions").alias("position"), F.col("values").alias("value")))
+    return rounded(cells.select("material_id", pairs))
+
+
 def _master_sql(name: str, source: dict[str, str], features, steps) -> str:
     columns = _by_material(
         source, "base", "duration", "features", "steps", features=features, steps=steps
