@@ -122,11 +122,14 @@ def split_overlap(
     return seen.where("train = 1 AND test = 1").select(key)
 
 
+def assert_same_count(left: int, right: int, what: str) -> int:
+    if left != right:
+        raise ValueError(f"{what} row counts do not match: {left} vs {right}")
+    return left
+
+
 def assert_row_counts_match(left: DataFrame, right: DataFrame, what: str) -> int:
-    counts = left.count(), right.count()
-    if counts[0] != counts[1]:
-        raise ValueError(f"{what} row counts do not match: {counts[0]} vs {counts[1]}")
-    return counts[0]
+    return assert_same_count(left.count(), right.count(), what)
 
 
 def class_presence(df: DataFrame, label: str = "label_binary", split: str = "split") -> DataFrame:

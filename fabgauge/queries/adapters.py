@@ -109,6 +109,14 @@ CATALOG_SQL = """SELECT
   'account ' || CAST(c_nationkey AS VARCHAR(20)) AS notes
 FROM customer"""
 
+# Orders as files in folders by customer and year; every tenth entry owns one year of another's folder.
+INVENTORY_CATALOG_SQL = f"""SELECT dataset_id, source_url, license_note, CASE WHEN n % 10 = 0
+    THEN 'raw/' || CAST(CAST(floor(n / 10) AS INT) AS VARCHAR(20)) || '/1996' ELSE local_raw_path END AS local_raw_path
+  FROM (SELECT *, CAST(substr(local_raw_path, 5) AS INT) AS n FROM ({CATALOG_SQL}))"""
+FILES_SQL = """SELECT 'file:/lake/raw/' || CAST(o_custkey AS VARCHAR(20)) || '/' ||
+    CAST(year(CAST(o_orderdate AS DATE)) AS VARCHAR(20)) || '/part-' || CAST(o_orderkey AS VARCHAR(20)) || '.csv' AS path,
+  o_orderkey AS length, CAST(o_orderdate AS DATE) AS modificationTime FROM orders"""
+
 
 def _view(spark: SparkSession, folder: str, source: str, text: str) -> DataFrame:
     return spark.sql(text.replace(f"FROM {source}", "FROM {src}"), src=table(spark, folder, source))
@@ -154,3 +162,11 @@ def labelled_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
     return _view(spark, folder, "customer", CATALOG_SQL)
+
+
+def inventory_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    return _view(spark, folder, "customer", INVENTORY_CATALOG_SQL)
+
+
+def files(spark: SparkSession, folder: str) -> DataFrame:
+    return _view(spark, folder, "orders", FILES_SQL)

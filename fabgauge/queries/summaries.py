@@ -19,6 +19,28 @@ def source_inventory(spark, folder):
     return catalog.source_inventory(spark, f"{folder}/*.parquet").drop("modified_at")
 
 
+@query(
+    "dataset_inventory",
+    with_tables(
+        {
+            "c": A.INVENTORY_CATALOG_SQL,
+            "f": A.FILES_SQL,
+            "owned": """SELECT path, length, modificationTime, max_by('file:/lake/' || local_raw_path,
+                length(local_raw_path)) AS folder FROM f
+              JOIN (SELECT DISTINCT local_raw_path FROM c) d
+                ON starts_with(path, 'file:/lake/' || local_raw_path || '/')
+              GROUP BY path, length, modificationTime""",
+            "t": """SELECT folder, count(*) AS file_count, CAST(sum(length) AS BIGINT) AS size_bytes,
+                max(modificationTime) AS modified_at FROM owned GROUP BY folder""",
+        },
+        """SELECT dataset_id, source_url, local_raw_path, license_note, file_count, size_bytes, modified_at
+        FROM c LEFT JOIN t ON folder = 'file:/lake/' || local_raw_path""",
+    ),
+)
+def dataset_inventory(spark, folder):
+    return catalog.dataset_inventory(A.inventory_catalog(spark, folder), A.files(spark, folder), "/lake")
+
+
 @query("dataset_catalog", with_tables(CATALOG, f"SELECT {', '.join(catalog.CATALOG_FIELDS)} FROM c"))
 def dataset_catalog(spark, folder):
     return catalog.dataset_catalog(A.catalog(spark, folder))

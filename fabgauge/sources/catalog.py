@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import require_columns
 from fabgauge.operators.contracts import assert_empty
+from fabgauge.session import pin
 
 # Fields of a catalog entry and the values two of them may take.
 CATALOG_FIELDS = [
@@ -78,19 +79,62 @@ def catalog_plan(catalog: DataFrame) -> DataFrame:
     return catalog.select(*PLAN_FIELDS)
 
 
+def source_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Files below the paths: ``path, length, modificationTime``; contents are not read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.load(paths).select("path", "length", "modificationTime")
+
+
+def _totals() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("file_count"),
+        F.sum("length").alias("size_bytes"),
+        F.max("modificationTime").alias("modified_at"),
+    ]
+
+
 def source_inventory(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Files per dataset with count, bytes and newest time; file contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    """Files per name without extension, with count, bytes and newest time."""
     name = F.regexp_extract("path", r"([^/]+?)(\.[A-Za-z0-9]+)?$", 1)
-    return (
-        files.select(name.alias("dataset_id"), "length", "modificationTime")
-        .groupBy("dataset_id")
-        .agg(
-            F.count(F.lit(1)).alias("file_count"),
-            F.sum("length").alias("size_bytes"),
-            F.max("modificationTime").alias("modified_at"),
-        )
+    files = source_files(spark, paths).withColumn("dataset_id", name)
+    return files.groupBy("dataset_id").agg(*_totals())
+
+
+def _plain_path(path: Column) -> Column:
+    """The path without scheme, host, doubled and last slashes."""
+    local = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.regexp_replace(F.regexp_replace(local, "/+", "/"), "/$", "")
+
+
+def dataset_inventory(catalog: DataFrame, files: DataFrame, root: str = "") -> DataFrame:
+    """Catalog entries with the files of their ``local_raw_path``: count, bytes and newest time.
+
+    The path is a folder or a file; one that does not start with a slash or a scheme lies below ``root``.
+    A file belongs to the entry with the longest path above it, and to each of them if several have the
+    same path. Entries without files, or without a path, stay with NULLs; files below no entry are left out.
+    """
+    fields = ["dataset_id", "source_url", "local_raw_path", "license_note"]
+    raw = F.col("local_raw_path")
+    whole = F.when(raw.rlike(r"^(/|[A-Za-z][A-Za-z0-9+.-]*:)"), raw)
+    below = F.concat(F.lit(f"{root}/"), F.regexp_replace(raw, r"^(\./)+", ""))
+    place = F.when(F.trim(raw) != "", _plain_path(F.coalesce(whole, below)))
+    entries = catalog.select(*fields, place.alias("_folder"))
+    folders = pin(entries.select("_folder").where("_folder IS NOT NULL").distinct())
+    parts = F.split("_path", "/")
+    above = F.transform(
+        F.sequence(F.lit(1), F.size(parts)), lambda n: F.concat_ws("/", F.slice(parts, 1, n))
+    )
+    numbered = files.select(_plain_path(F.col("path")).alias("_path"), "length", "modificationTime")
+    # A file met twice in the listing is one file.
+    ancestors = numbered.distinct().select("*", F.explode(above).alias("_folder"))
+    longest = F.max_by("_folder", F.length("_folder")).alias("_folder")
+    owned = (
+        ancestors.join(folders, "_folder")
+        .groupBy("_path", "length", "modificationTime")
+        .agg(longest)
     )
+    totals = owned.groupBy("_folder").agg(*_totals())
+    return entries.join(totals, "_folder", "left").drop("_folder")
 
 
 def inventory_of_catalog(catalog: DataFrame, inventory: DataFrame) -> DataFrame:

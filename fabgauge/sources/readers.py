@@ -23,33 +23,54 @@ NOT_BLANK = r"value RLIKE '\\S'"
 EVENT_MISSING_TOKENS = ["", "NaN", "nan", "NA", "N/A", "null", "NULL", "None", "?"]
 
 
+BLOCK = ["file_path", "file_block_start", "file_block_length"]
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines with their place in the file."""
-    place = ["_metadata.file_path", "_metadata.file_block_start"]
-    return (
-        spark.read.text(path)
-        .select("value", *place, F.monotonically_increasing_id().alias("_at"))
-        .where(NOT_BLANK)
+    """Non-blank lines with their file block; ``_at`` counts up without gaps inside a block."""
+    lines = spark.read.text(path).select("value", *[f"_metadata.{c}" for c in BLOCK])
+    return lines.where(NOT_BLANK).withColumn("_at", F.monotonically_increasing_id())
+
+
+def line_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """One pinned row per file block with a line: its key, ``first_at, lines, width, start``.
+
+    ``width`` is the number of values in the block's first line, ``start`` the lines of all blocks before.
+    """
+    sizes = _lines(spark, path).groupBy(*BLOCK).agg(
+        F.min("_at").alias("first_at"),
+        F.count(F.lit(1)).alias("lines"),
+        F.min_by(F.size(_tokens()), "_at").alias("width"),
     )
+    before = Window.orderBy(*BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return pin(sizes.withColumn("start", F.coalesce(F.sum("lines").over(before), F.lit(0))))
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, blocks: DataFrame | None = None) -> DataFrame:
     """``line_no, value``: non-blank lines numbered from 0 in file order.
 
-    Lines are numbered inside each file block and shifted by the lines of the blocks before.
-    They are checkpointed first, so both passes see the same blocks even if the cluster
-    changes in between.
+    One pass counts the lines of each file block, a second one adds a line's place inside its block, which
+    the scan itself gives; the text is neither copied nor sorted. Should Spark cut the files otherwise the
+    second time, because they or the cluster changed in between, the read fails and can be repeated.
     """
-    lines = fix(_lines(spark, path))
-    block = ["file_path", "file_block_start"]
-    sizes = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    starts = pin(
-        sizes.select(*block, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    lines = _lines(spark, path)
+    blocks = line_blocks(spark, path) if blocks is None else blocks
+    place = F.col("_at") - F.col("first_at")
+    changed = F.raise_error(F.concat(F.lit("files are not cut as they were counted: "), "file_path"))
+    number = F.when((place >= 0) & (place < F.col("lines")), F.col("start") + place)
+    placed = lines.join(blocks.drop("width"), BLOCK, "left")
+    return placed.select(
+        F.coalesce(number, changed.cast("long")).cast("long").alias("line_no"), "value"
     )
-    inside = Window.partitionBy(*block).orderBy("_at")
-    number = F.col("_start") + F.row_number().over(inside) - 1
-    return lines.join(starts, block).select(number.cast("long").alias("line_no"), "value")
+
+
+def _first_width(blocks: DataFrame) -> int:
+    """Values in the very first line, 0 without lines."""
+    return blocks.agg(F.coalesce(F.min_by("width", "start"), F.lit(0))).first()[0]
+
+
+def _line_count(blocks: DataFrame) -> int:
+    return blocks.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
 
 
 def _tokens():
@@ -82,9 +103,9 @@ def parse_sensor_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
 
 
 def read_sensor_matrix(spark: SparkSession, path: str) -> DataFrame:
-    lines = _lines(spark, path)
-    first = lines.orderBy("file_path", "file_block_start", "_at").select(F.size(_tokens())).first()
-    return parse_sensor_lines(lines.select("value"), first[0] if first else 0)
+    """The sensor columns; their number is that of the values in the first line."""
+    lines = spark.read.text(path).where(NOT_BLANK)
+    return parse_sensor_lines(lines, _first_width(line_blocks(spark, path)))
 
 
 def parse_label_lines(lines: DataFrame) -> DataFrame:
@@ -109,10 +130,13 @@ def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def assemble_samples(spark: SparkSession, sensor_path: str, label_path: str) -> DataFrame:
     """Line up the two files: ``sample_id, sensor_000.., label, timestamp``."""
-    sensors = numbered_lines(spark, sensor_path)
-    labels = numbered_lines(spark, label_path)
-    contracts.assert_row_counts_match(sensors, labels, "Sensor and label")
-    joined = parse_sensor_lines(sensors).join(
+    sensor_blocks, label_blocks = line_blocks(spark, sensor_path), line_blocks(spark, label_path)
+    contracts.assert_same_count(
+        _line_count(sensor_blocks), _line_count(label_blocks), "Sensor and label"
+    )
+    sensors = numbered_lines(spark, sensor_path, sensor_blocks)
+    labels = numbered_lines(spark, label_path, label_blocks)
+    joined = parse_sensor_lines(sensors, _first_width(sensor_blocks)).join(
         parse_label_lines(labels).drop("recorded_at"), "line_no"
     )
     return joined.withColumnRenamed("line_no", "sample_id")

@@ -41,6 +41,34 @@ def test_line_numbers_over_many_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+@pytest.mark.parametrize("block", ["4000", "1000000"])
+def test_line_numbers_over_files_and_blocks(spark, tmp_path, block):
+    """Two files of several blocks and a small one, blank lines between; small blocks share a partition."""
+    for name, first, last in (("a", 0, 700), ("b", 700, 1500), ("c", 1500, 1503)):
+        write(tmp_path / f"{name}.txt", "".join(f"{i} {'y' * (i % 31)}\n{' ' * (i % 3)}\n" for i in range(first, last)))
+    names = {"spark.sql.files.maxPartitionBytes": block, "spark.sql.files.openCostInBytes": "10"}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        blocks = readers.line_blocks(spark, str(tmp_path))
+        if block == "4000":
+            by_file = [r["count"] for r in blocks.groupBy("file_path").count().orderBy("file_path").collect()]
+            assert by_file[0] >= 2 and by_file[1] >= 2 and by_file[2] == 1
+        lines = readers.numbered_lines(spark, str(tmp_path), blocks)
+        assert lines.selectExpr("CAST(split(value, ' ')[0] AS LONG) AS own", "line_no").where("own <> line_no").count() == 0
+        assert sorted(r.line_no for r in lines.collect()) == list(range(1503))
+        plan = lines._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Sort" not in plan and "ExistingRDD" not in plan
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2500")
+        if block == "4000":
+            with pytest.raises(Exception, match="not cut as they were counted"):
+                readers.numbered_lines(spark, str(tmp_path), blocks).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_row_counts_must_match(spark, tmp_path):
     sensors = write(tmp_path / "a", "1.0 2.0\n3.0 4.0\n")
     labels = write(tmp_path / "b", "1 19/07/2008 11:55:00\n")
@@ -157,6 +185,26 @@ def test_inventory(spark, tmp_path):
     assert {r.dataset_id: r.size_bytes for r in joined.collect()} == {"a": 3, "z": None}
 
 
+def test_inventory_by_the_longest_path(spark, tmp_path):
+    for name, size in (("raw/a/part-0", 3), ("raw/a/x/part-1", 5), ("raw/a/deep/p", 7), ("raw/ab.csv", 11), ("other/q", 13)):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        write(tmp_path / name, "z" * size)
+    files = catalog.source_files(spark, str(tmp_path))
+    entries = frame(
+        spark, entry(dataset_id="a", local_raw_path="raw/a/"), entry(dataset_id="deep", local_raw_path="./raw/a/deep"),
+        entry(dataset_id="twin", local_raw_path=f"file:{tmp_path}/raw/a/deep"), entry(dataset_id="one", local_raw_path="raw/ab.csv"),
+        entry(dataset_id="none", local_raw_path="raw/b"), entry(dataset_id="null", local_raw_path=None),
+        entry(dataset_id="blank", local_raw_path=" "),
+    )
+    found = catalog.dataset_inventory(entries, files.union(files), str(tmp_path))
+    assert {r.dataset_id: (r.file_count, r.size_bytes) for r in found.collect()} == {
+        "a": (2, 8), "deep": (1, 7), "twin": (1, 7), "one": (1, 11),
+        "none": (None, None), "null": (None, None), "blank": (None, None),
+    }
+    assert catalog.dataset_inventory(entries, files.where("false")).where("file_count IS NOT NULL").count() == 0
+    assert catalog.dataset_inventory(entries.where("false"), files).count() == 0
+
+
 def test_width_of_files_with_unequal_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_text("1 2 3\n")
     (tmp_path / "b.txt").write_text("4 5\n" * 50)
