@@ -42,7 +42,7 @@ def _per_material(df: DataFrame) -> DataFrame:
     )
 
 
-def _row_count_statistics(rows: Column, materials: Column) -> list[Column]:
+def row_count_statistics(rows: Column, materials: Column) -> list[Column]:
     # n different row counts need at least n * (n + 1) / 2 rows, so the percentile buffer
     # over (row count, number of materials) stays small for any table.
     def quantile(share: float) -> Column:
@@ -63,7 +63,7 @@ def rows_per_material(df: DataFrame) -> DataFrame:
     """Distribution of rows per material: ``min, max, mean, median, p25, p75``."""
     materials = df.groupBy("MaterialID").agg(F.count(F.lit(1)).alias("rows"))
     histogram = materials.groupBy("rows").agg(F.count(F.lit(1)).alias("materials"))
-    return histogram.agg(*_row_count_statistics(F.col("rows"), F.col("materials")))
+    return histogram.agg(*row_count_statistics(F.col("rows"), F.col("materials")))
 
 
 def material_count(df: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def event_profile(df: DataFrame, dataset_id: str, file_path: str) -> DataFrame:
         F.count_if("mixed_is_test").alias("mixed_is_test"),
     )
     sizes = by_size.agg(
-        F.struct(*_row_count_statistics(F.col("rows"), F.col("materials"))).alias("sizes"),
+        F.struct(*row_count_statistics(F.col("rows"), F.col("materials"))).alias("sizes"),
         F.coalesce(F.sum(F.col("rows") * F.col("materials")), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum("materials"), F.lit(0)).alias("materials"),
         F.coalesce(F.sum("mixed_target"), F.lit(0)).alias("mixed_target"),

@@ -19,7 +19,6 @@ from fabgauge.operators.evaluate import (
 )
 from fabgauge.operators.explain import consistent_features
 from fabgauge.operators.profile import top_missing
-from fabgauge.operators.split import split_label_counts
 
 
 def _items(df: DataFrame, item: str, name: Column, value: Column) -> DataFrame:
@@ -216,28 +215,17 @@ def model_comparison(metrics: Sequence[DataFrame]) -> DataFrame:
 def baseline_feature_metadata(
     master: DataFrame, features: Sequence[str], threshold: float = 0.5
 ) -> DataFrame:
-    """Features, split sizes, label counts and strategies per dataset."""
-    counts = split_label_counts(master, "official_split")
-    sizes = counts.agg(
-        F.sum("row_count").alias("row_count"),
-        *[
-            F.sum(F.when(F.col("split") == part, F.col("row_count")).otherwise(0)).alias(
-                f"{part}_row_count"
-            )
-            for part in ("train", "test")
-        ],
+    """Features, split sizes, label counts and strategies, one row per dataset."""
+    split, label = F.col("official_split"), F.col("label_binary")
+    sizes = master.groupBy("dataset_id").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.count_if(split == part).alias(f"{part}_row_count") for part in ("train", "test")],
         *[
-            F.sum(
-                F.when(
-                    (F.col("split") == part) & (F.col("label") == value), F.col("row_count")
-                ).otherwise(0)
-            ).alias(f"{part}_label_{value}_count")
+            F.count_if((split == part) & (label == value)).alias(f"{part}_label_{value}_count")
             for part in ("train", "test")
             for value in (0, 1)
         ],
-        F.count_distinct(F.when(F.col("split") == "train", F.col("label"))).alias(
-            "train_class_count"
-        ),
+        F.count_distinct(F.when(split == "train", label)).alias("train_class_count"),
     )
     # Names of the strategies.
     strategies = {
@@ -248,9 +236,10 @@ def baseline_feature_metadata(
         "random_forest_scaling": "not_applied",
     }
     return sizes.select(
+        "dataset_id",
         F.lit(len(features)).cast("long").alias("selected_feature_count"),
         F.lit(list(features)).alias("selected_feature_columns"),
-        *sizes.columns,
+        *sizes.columns[1:],
         *[F.lit(v).alias(k) for k, v in strategies.items()],
         F.lit(float(threshold)).alias("default_threshold"),
     )

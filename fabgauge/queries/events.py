@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fabgauge.functions.columns import event_features, material_features, statistic_columns
 from fabgauge.functions.rules import coerce_numeric, missing_as_label, official_split
-from fabgauge.operators import contracts, events, materials, models, step_vectors
+from fabgauge.operators import contracts, events, materials, models, profile_state, step_vectors
 from fabgauge.plans import summary
 from fabgauge.queries import adapters as A
 from fabgauge.queries.registry import query, rounded, rounded_sql, with_tables
@@ -109,6 +109,81 @@ def duration_range(spark, folder):
     return rounded(events.duration_range(A.material_events(spark, folder)))
 
 
+def _two_states(spark, folder):
+    """Two halves of the events with mixed targets, profiled apart; some rows are in both."""
+    rows = A.mixed_events(spark, folder)
+    halves = [rows.where("MaterialID % 2 = 0"), rows.where("MaterialID % 2 = 1 OR StepID = 3")]
+    states = [profile_state.profile_state(h, f"part-{i}") for i, h in enumerate(halves)]
+    return profile_state.merge_states(*states)
+
+
+_TWO_STATES = {
+    "m": A.MIXED_EVENTS_SQL,
+    "e": """SELECT * FROM m WHERE MaterialID % 2 = 0
+      UNION ALL SELECT * FROM m WHERE MaterialID % 2 = 1 OR StepID = 3""",
+}
+
+
+@query(
+    "profile_state_values",
+    with_tables(
+        _TWO_STATES,
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS "count"
+            FROM e GROUP BY ALL"""
+            for c in profile_state.DISTRIBUTIONS
+        ),
+    ),
+)
+def profile_state_values(spark, folder):
+    return profile_state.profile_values(_two_states(spark, folder))
+
+
+@query(
+    "profile_state_columns",
+    with_tables(
+        _TWO_STATES,
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing_count FROM e" for c in COLUMNS
+        ),
+    ),
+)
+def profile_state_columns(spark, folder):
+    return profile_state.profile_columns(_two_states(spark, folder))
+
+
+@query(
+    "profile_state_summary",
+    rounded_sql(
+        with_tables(
+            {
+                **_TWO_STATES,
+                "g": """SELECT count(*) AS n, count(DISTINCT target) > 1 AS t,
+                  count(DISTINCT is_test) > 1 AS s FROM e GROUP BY MaterialID""",
+                "d": "SELECT CAST(sum(n - 1) AS BIGINT) AS d FROM (SELECT COLUMNS(*), count(*) AS n FROM e GROUP BY ALL)",
+            },
+            """SELECT (SELECT count(*) FROM e) AS row_count, count(*) AS unique_material_id_count,
+              count(*) FILTER (t) AS mixed_target_material_id_count,
+              count(*) FILTER (s) AS mixed_is_test_material_id_count,
+              (SELECT d FROM d) AS duplicate_full_row_count,
+              CAST(min(n) AS DOUBLE) AS rows_per_material_min, CAST(max(n) AS DOUBLE) AS rows_per_material_max,
+              avg(n) AS rows_per_material_mean, median(n) AS rows_per_material_median,
+              quantile_cont(CAST(n AS DOUBLE), 0.25) AS rows_per_material_p25,
+              quantile_cont(CAST(n AS DOUBLE), 0.75) AS rows_per_material_p75,
+              (SELECT min(duration_ms) FROM e) AS duration_min, (SELECT max(duration_ms) FROM e) AS duration_max,
+              (SELECT count(*) - count(duration_ms) FROM e) AS duration_missing_count FROM g""",
+        ),
+        [
+            *[f"rows_per_material_{s}" for s in ("min", "max", "mean", "median", "p25", "p75")],
+            "duration_min",
+            "duration_max",
+        ],
+    ),
+)
+def profile_state_summary(spark, folder):
+    return rounded(profile_state.profile_summary(_two_states(spark, folder)))
+
+
 _EVENT_TAX = "CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE l_tax END AS l_tax"
 
 
@@ -572,9 +647,18 @@ def feature_union(spark, folder):
     return both.groupBy("feature").agg(F.sum("n").alias("value_count"))
 
 
+_MASTER_FEATURES = [
+    *DURATION_DOUBLES,
+    *statistic_columns(FEATURES, materials.STATISTICS),
+    *[f"{f}_missing_ratio" for f in FEATURES],
+    *[materials.step_column(f, s) for f in FEATURES for s in STEPS],
+]
+
+
 @query(
     "baseline_feature_metadata",
-    f"""SELECT CAST(41 AS BIGINT) AS selected_feature_count, count(*) AS row_count,
+    f"""SELECT dataset_id, CAST({len(_MASTER_FEATURES)} AS BIGINT) AS selected_feature_count,
+      '{",".join(_MASTER_FEATURES)}' AS selected_feature_columns, count(*) AS row_count,
       count(*) FILTER (s = 0) AS train_row_count, count(*) FILTER (s = 1) AS test_row_count,
       count(*) FILTER (s = 0 AND t = 0) AS train_label_0_count,
       count(*) FILTER (s = 0 AND t = 1) AS train_label_1_count,
@@ -584,14 +668,16 @@ def feature_union(spark, folder):
       'median_fit_on_official_train_only' AS imputation_strategy,
       'standard_scaler_fit_on_official_train_only_for_logistic_regression' AS scaling_strategy,
       'not_applied' AS random_forest_scaling, 0.5E0 AS default_threshold
-    FROM (SELECT MaterialID, max(target) AS t, max(is_test) AS s FROM ({A.EVENTS_SQL})
-      GROUP BY MaterialID)""",
+    FROM (SELECT CASE WHEN MaterialID % 5 = 0 THEN 'd0' ELSE 'd1' END AS dataset_id, MaterialID,
+        max(target) AS t, max(is_test) AS s FROM ({A.EVENTS_SQL}) GROUP BY ALL)
+    GROUP BY dataset_id""",
 )
 def baseline_feature_metadata(spark, folder):
-    master = d1_master(spark, folder)
-    return summary.baseline_feature_metadata(master, material_features(master)).drop(
-        "selected_feature_columns"
-    )
+    name = F.expr("CASE WHEN material_id % 5 = 0 THEN 'd0' ELSE 'd1' END")
+    master = d1_master(spark, folder).withColumn("dataset_id", name)
+    document = summary.baseline_feature_metadata(master, material_features(master))
+    listed = F.array_join("selected_feature_columns", ",")
+    return document.withColumn("selected_feature_columns", listed)
 
 
 _SKIPPED = f"""SELECT 'd1' AS dataset_id, material_id, label_original, label_binary,
