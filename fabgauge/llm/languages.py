@@ -57,15 +57,29 @@ def ranked(text: str | None, size: int = PROFILE) -> np.ndarray:
 def learn_profiles(
     docs: DataFrame, size: int = PROFILE, per_language: int = SAMPLE_PER_LANGUAGE
 ) -> dict[str, np.ndarray]:
-    """Profiles from rows with doc_id, text and lang, of which up to ``per_language`` (at most 1000,
-    so that Spark limits each language before the shuffle) are read for each language."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    """Profiles from rows with doc_id, text and lang, of which up to ``per_language`` ids (at most 1000)
+    are read for each language.
+
+    Those are the ids with the smallest hashes. A limit of the hash by the number of ids leaves about twice
+    as many, so that few rows of a language meet in one task however many there are. Rows with a null in one
+    of the three are not learned from, an id repeated within a language counts once, with its first text in
+    byte order. Without any row there is no profile.
+    """
+    per_language = min(per_language, 1000)
+    known = docs.select("doc_id", "lang", "text").filter(
+        "lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL"
+    )
+    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("hash"))
+    share = (2 * per_language + 100) / F.approx_count_distinct("doc_id")
+    limits = stored(ids.groupBy("lang").agg(share.alias("share")), "language-limits")
+    small = ids.join(limits, "lang").filter(F.col("hash") / 2.0**64 + 0.5 <= F.col("share"))
+    first = Window.partitionBy("lang").orderBy("hash", "doc_id")
     chosen = (
-        docs.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-        .select("doc_id", "lang")
+        small.select("doc_id", "lang", "hash")
+        .distinct()
         .withColumn("n", F.row_number().over(first))
-        .filter(F.col("n") <= min(per_language, 1000))
-        .drop("n")
+        .filter(F.col("n") <= per_language)
+        .select("doc_id", "lang")
     )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +101,8 @@ def learn_profiles(
                     )
 
     # A thousand ids a language; the ids of one language are no more than that.
-    sample = docs.select("doc_id", "text").join(F.broadcast(stored(chosen, "language-sample")), "doc_id")
+    sample = known.join(F.broadcast(stored(chosen, "language-sample")), ["doc_id", "lang"])
+    sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     sums = sample.select("lang", "text").mapInArrow(count, "lang string, code long, n long")
     sums = sums.groupBy("lang", "code").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang").orderBy(F.col("n").desc(), "code")
