@@ -21,6 +21,8 @@ from fabgauge.llm.common import SLICE, sorted_unique, stored
 PROFILE = 400
 # Documents per language that its profile is counted from, chosen by hash of their id.
 SAMPLE_PER_LANGUAGE = 1000
+# N-grams a task holds before it counts them; a longer text is counted alone.
+HELD = 4_000_000
 UNKNOWN = "und"
 # Codes of a character: 1 is any run of other characters, letters follow by code point.
 LETTERS = 1021
@@ -82,23 +84,28 @@ def learn_profiles(
         .select("doc_id", "lang")
     )
 
+    def counted(lang: str, each: list[np.ndarray]) -> pa.RecordBatch:
+        codes, counts = sorted_unique(np.concatenate(each))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang] * len(codes), pa.string()),
+                pa.array(codes.astype(np.int64)),
+                pa.array(counts.astype(np.int64)),
+            ],
+            names=["lang", "code", "n"],
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, list[np.ndarray]] = {}
+        held = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE).to_pydict()
-                by_language: dict[str, list[np.ndarray]] = {}
-                for lang, text in zip(part["lang"], part["text"], strict=True):
-                    by_language.setdefault(lang, []).append(grams(text))
-                for lang, each in by_language.items():
-                    codes, counts = sorted_unique(np.concatenate(each))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * len(codes), pa.string()),
-                            pa.array(codes.astype(np.int64)),
-                            pa.array(counts.astype(np.int64)),
-                        ],
-                        names=["lang", "code", "n"],
-                    )
+            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+                waiting.setdefault(lang.as_py(), []).append(grams(text.as_py()))
+                held += len(waiting[lang.as_py()][-1])
+                if held > HELD:
+                    yield from (counted(*each) for each in waiting.items())
+                    waiting, held = {}, 0
+        yield from (counted(*each) for each in waiting.items())
 
     # A thousand ids a language; the ids of one language are no more than that.
     sample = known.join(F.broadcast(stored(chosen, "language-sample")), ["doc_id", "lang"])
