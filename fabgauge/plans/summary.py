@@ -43,6 +43,17 @@ def columns_as_items(row: DataFrame, item: str) -> DataFrame:
     return row.select(F.lit(item).alias("item"), F.inline(F.array(*cells)))
 
 
+def rows_as_items(table: DataFrame, item: str, key: str) -> DataFrame:
+    """Whole rows as items: one per column, named after the row's key and the column."""
+    cells = [
+        F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("value"))
+        for c in table.columns
+        if c != key
+    ]
+    long = table.select(key, F.inline(F.array(*cells)))
+    return _items(long, item, F.concat_ws(".", key, "_column"), F.col("value"))
+
+
 def summary_profile(missing: DataFrame, labels: DataFrame, n: int = 10) -> DataFrame:
     """Label counts, feature and missing totals, and the features with most missing values."""
     totals = missing.agg(
@@ -130,7 +141,7 @@ def summary_models(metrics: DataFrame) -> DataFrame:
 def summary_thresholds(
     metrics: DataFrame, top_risk_count: DataFrame, missed: DataFrame
 ) -> DataFrame:
-    """Grid size, missed defects at 0.5 and at the best F2, row counts of the error tables."""
+    """Grid size, each model's whole row at 0.5 and at the best F2, missed defects at both, row counts."""
     totals = metrics.agg(F.count_distinct("threshold").alias("threshold_count")).select(
         "threshold_count",
         top_risk_count.scalar().alias("top_risk_sample_count"),
@@ -141,6 +152,8 @@ def summary_thresholds(
         [
             columns_as_items(totals, "totals"),
             _items(operating_point(metrics), "default_f2", F.col("model_name"), F.col("f2")),
+            rows_as_items(operating_point(metrics), "default_row", "model_name"),
+            rows_as_items(best_f2(metrics), "best_row", "model_name"),
             _items(best_f2(metrics), "best_f2", F.col("model_name"), F.col("f2")),
             _items(best_f2(metrics), "best_threshold", F.col("model_name"), F.col("threshold")),
             _items(false_negative_counts(missed), "false_negatives", kind, F.col("count")),
@@ -151,13 +164,18 @@ def summary_thresholds(
 def summary_explain(
     importance: DataFrame, top: DataFrame, profile: DataFrame, n: int = 20
 ) -> DataFrame:
-    """Row counts, importance types, profiled groups and the features shared by top lists."""
+    """Row counts, importance types, profiled groups, the top lists and the features they share.
+
+    A row of a top list has its place as value, the same row in ``top_importance`` its importance.
+    """
 
     def counts(table: DataFrame, column: str, item: str) -> DataFrame:
         groups = table.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
         return _items(groups, item, F.col(column), F.col("n"))
 
     shared = consistent_features(top, more_than=0).limit(n)
+    listed = top.where(F.col("rank") <= n)
+    place = F.concat_ws(".", "model_name", "importance_type", "feature")
     return _union(
         [
             columns_as_items(
@@ -166,6 +184,8 @@ def summary_explain(
             columns_as_items(profile.agg(F.count(F.lit(1)).alias("profile_row_count")), "totals"),
             counts(importance, "importance_type", "importance_types"),
             counts(profile, "group_name", "error_profile_groups"),
+            _items(listed, "top_features", place, F.col("rank")),
+            _items(listed, "top_importance", place, F.col("importance")),
             _items(shared, "consistent_top_features", F.col("feature"), F.col("top_list_count")),
         ]
     )

@@ -7,6 +7,7 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from fabgauge.operators import evaluate, explain, impute, models, rescoring, split
+from fabgauge.operators.profile import melt
 from fabgauge.plans.wide_run import run_wide_branch
 from fabgauge.queries import adapters as A
 from fabgauge.queries.events import d1_master
@@ -121,9 +122,11 @@ _VALUES = {
 
 
 def _ranked(spark, folder):
-    stats = impute.scaler_params(A.sensor_wide(spark, folder), A.SENSORS)
-    constant = [s for i, s in enumerate(A.SENSORS) if i % 16 == 7]
-    deviation = F.when(F.col("feature").isin(constant), 0.0).otherwise(F.col("scale"))
+    stats = (
+        melt(A.sensor_wide(spark, folder), A.SENSORS)
+        .groupBy("feature")
+        .agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("deviation"))
+    )
 
     def values(model, kind, column):
         return stats.select(
@@ -134,7 +137,7 @@ def _ranked(spark, folder):
         )
 
     both = values("model_a", "abs_mean", F.abs("mean")).unionByName(
-        values("model_b", "deviation", deviation)
+        values("model_b", "deviation", "deviation")
     )
     return explain.rank_importance(both)
 

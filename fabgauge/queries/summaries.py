@@ -190,6 +190,10 @@ def summary_models(spark, folder):
     return rounded(summary.summary_models(metrics))
 
 
+_GRID_COLUMNS = [*scoring.GRID_DOUBLES, "tp", "fp", "tn", "fn", "predicted_positive_count"]
+_TOP_ROW = "model_name || '.' || importance_type || '.' || feature"
+
+
 @query(
     "summary_thresholds",
     rounded_sql(
@@ -202,6 +206,12 @@ def summary_models(spark, folder):
                     _item("totals", "'false_negative_rows'", "count(*)", "missed"),
                     _item("default_f2", "model_name", "f2", "grid_metrics")
                     + " WHERE abs(threshold - 0.5) < 1e-9",
+                    *[
+                        _item("default_row", f"model_name || '.{c}'", c, "grid_metrics")
+                        + " WHERE abs(threshold - 0.5) < 1e-9"
+                        for c in _GRID_COLUMNS
+                    ],
+                    *[_item("best_row", f"model_name || '.{c}'", c, "best") for c in _GRID_COLUMNS],
                     _item("best_f2", "model_name", "f2", "best"),
                     _item("best_threshold", "model_name", "threshold", "best"),
                     _item(
@@ -242,6 +252,8 @@ def summary_thresholds(spark, folder):
                 _item("totals", "'profile_row_count'", "count(*)", "profile"),
                 _group_item("importance_types", "importance_type", "importance_"),
                 _group_item("error_profile_groups", "group_name", "profile"),
+                _item("top_features", _TOP_ROW, "rank", "importance_") + " WHERE rank <= 20",
+                _item("top_importance", _TOP_ROW, "importance", "importance_") + " WHERE rank <= 20",
                 _item("consistent_top_features", "feature", "n", "shared"),
             ]
         ),
