@@ -201,10 +201,67 @@ def event_duplicate_rows(spark, folder):
     return events.event_duplicates(lines.unionAll(lines.where("l_partkey % 50 = 0")))
 
 
-@query("event_profile")
+_PROFILE_SIZES = ["min", "max", "mean", "median", "p25", "p75"]
+
+
+def _counts_text(column: str) -> str:
+    return f"""(SELECT string_agg(v || '=' || n, ',' ORDER BY v COLLATE "C") FROM (
+      SELECT coalesce(CAST({column} AS VARCHAR), '<MISSING>') AS v, CAST(count(*) AS VARCHAR) AS n FROM e GROUP BY 1))"""
+
+
+_MISSING_TEXT = " || ',' || ".join(
+    f"'{c}=' || CAST((SELECT count(*) - count({c}) FROM e) AS VARCHAR)" for c in sorted(COLUMNS)
+)
+
+
+@query(
+    "event_profile",
+    rounded_sql(
+        with_tables(
+            {
+                **MIXED,
+                "g": """SELECT CAST(count(*) AS DOUBLE) AS n, count(DISTINCT coalesce(target, -9)) > 1 AS t,
+                  count(DISTINCT coalesce(is_test, -9)) > 1 AS s FROM e GROUP BY MaterialID""",
+                "r": "SELECT COLUMNS(*), count(*) AS n FROM e GROUP BY ALL",
+            },
+            f"""SELECT 'd1' AS dataset_id, 'events' AS file_path, (SELECT count(*) FROM e) AS row_count,
+              CAST({len(COLUMNS)} AS BIGINT) AS column_count, '{",".join(COLUMNS)}' AS column_names,
+              'MaterialID,StepID,duration_ms,target,is_test' AS required_reference_columns,
+              '{",".join(FEATURES)}' AS feature_columns, count(*) AS unique_material_id_count,
+              {_counts_text("target")} AS target_distribution,
+              count(*) FILTER (t) = 0 AS target_consistent_by_material_id,
+              count(*) FILTER (s) = 0 AS is_test_consistent_by_material_id,
+              {_counts_text("StepID")} AS step_id_distribution,
+              min(n) AS rows_min, max(n) AS rows_max, avg(n) AS rows_mean, median(n) AS rows_median,
+              quantile_cont(n, 0.25) AS rows_p25, quantile_cont(n, 0.75) AS rows_p75,
+              (SELECT min(duration_ms) FROM e) AS duration_min, (SELECT max(duration_ms) FROM e) AS duration_max,
+              (SELECT count(*) - count(duration_ms) FROM e) AS duration_missing_count,
+              {_MISSING_TEXT} AS missing_value_counts,
+              (SELECT CAST(sum(n - 1) AS BIGINT) FROM r) AS duplicate_full_row_count,
+              count(*) FILTER (t) AS mixed_target_material_id_count,
+              count(*) FILTER (s) AS mixed_is_test_material_id_count FROM g""",
+        ),
+        [*[f"rows_{s}" for s in _PROFILE_SIZES], "duration_min", "duration_max"],
+    ),
+)
 def event_profile(spark, folder):
-    rows = A.material_events(spark, folder)
-    return events.event_profile(rows, "d1", f"{folder}/lineitem.parquet")
+    """The profile with its maps and lists as text, but for the types, which differ between engines."""
+    profile = events.event_profile(A.mixed_events(spark, folder), "d1", "events").drop("dtypes")
+
+    def text(name):
+        kind = profile.schema[name].dataType.typeName()
+        if kind == "array":
+            return F.array_join(name, ",").alias(name)
+        if kind == "map":
+            parts = F.transform(F.map_entries(name), lambda e: F.concat_ws("=", e.key, e.value))
+            return F.array_join(F.array_sort(parts), ",").alias(name)
+        return F.col(name)
+
+    structs = {"material_id_row_count_distribution": ("rows", _PROFILE_SIZES)}
+    structs["duration_ms"] = ("duration", ["min", "max", "missing_count"])
+    plain = [text(c) for c in profile.columns if c not in structs]
+    inner = [F.col(f"{c}.{f}").alias(f"{p}_{f}") for c, (p, names) in structs.items() for f in names]
+    return rounded(profile.select(*plain, *inner))
 
 
 @query(
