@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +34,26 @@ def assert_binary(df: DataFrame, column: str) -> None:
     )
 
 
+def binary_metrics(columns: Sequence[str]) -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: rows whose flag is not 0 or 1, and one such value, per flag."""
+    metrics = []
+    for name in columns:
+        bad = F.col(name).isNull() | ~F.col(name).isin(0, 1)
+        metrics.append(F.count_if(bad).alias(f"{name}_bad"))
+        metrics.append(F.min(F.when(bad, F.col(name).cast("string"))).alias(f"{name}_example"))
+    return metrics
+
+
+def assert_binary_metrics(found: Mapping[str, object], columns: Sequence[str]) -> None:
+    """Raise for what ``binary_metrics`` observed, as ``assert_binary`` does."""
+    for name in columns:
+        if found[f"{name}_bad"]:
+            raise ValueError(
+                f"{name} must contain only binary values 0/1: {found[f'{name}_bad']} rows do not, "
+                f"one of them holds {found[f'{name}_example']}"
+            )
+
+
 def several_values(column: Column) -> Column:
     """Aggregate: does the group hold more than one value, NULL counted as a value?"""
     nulls = F.count(F.lit(1)) - F.count(column)
