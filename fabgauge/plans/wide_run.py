@@ -49,22 +49,32 @@ class WideRun:
         return explain.error_feature_profile(self.test, risky, missed, self.features)
 
 
-def run_wide_branch(
-    master: Master, trees: int = models.TREES, depth: int = models.TREE_DEPTH
-) -> WideRun:
-    """Train both models on the train rows of a master table and score its test rows.
+def checked_parts(master: Master) -> tuple[DataFrame, DataFrame]:
+    """Train and test rows of a master table, which is written once as everything reads it several times.
 
     A feature that is a metadata column, and train or test rows without both classes, are errors: the
-    curves of this branch mean nothing then. The master and the scores are written once, as everything
-    reads them several times.
+    curves of this branch mean nothing then.
     """
     reject_metadata_features(master.features, METADATA_COLUMNS)
     train, test = split.train_test(fix(master.table))
     for rows in (train, test):
         contracts.assert_both_classes(rows)
+    return train, test
+
+
+def scored_run(features: list[str], test: DataFrame, fitted: dict[str, PipelineModel]) -> WideRun:
+    """The test rows scored by each model; the scores are written once."""
+    tables = {name: models.positive_score(model, test) for name, model in fitted.items()}
+    return WideRun(features, test, fitted, fix(evaluate.stack(tables, "model_name")))
+
+
+def run_wide_branch(
+    master: Master, trees: int = models.TREES, depth: int = models.TREE_DEPTH
+) -> WideRun:
+    """Check a master table, train both models on its train rows and score its test rows."""
+    train, test = checked_parts(master)
     fitted = {
         models.LOGISTIC: models.train_logistic(train, master.features),
         models.FOREST: models.train_forest(train, master.features, trees=trees, depth=depth),
     }
-    tables = {name: models.positive_score(model, test) for name, model in fitted.items()}
-    return WideRun(master.features, test, fitted, fix(evaluate.stack(tables, "model_name")))
+    return scored_run(master.features, test, fitted)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fabgauge.operators import evaluate, explain, impute, models, rescoring, split
 from fabgauge.operators.profile import melt
-from fabgauge.plans.wide_run import run_wide_branch
+from fabgauge.plans.wide_run import checked_parts, scored_run
 from fabgauge.queries import adapters as A
 from fabgauge.queries.events import d1_master
 from fabgauge.queries.registry import query, rounded, rounded_sql, with_tables
@@ -23,9 +23,25 @@ def version(spark, folder, name):
     return tuple(sorted(map(tuple, files.distinct().collect())))
 
 
+@lru_cache(maxsize=4)
+def _parts(spark, folder, files):
+    built = wide_master(spark, folder)
+    return built.features, *checked_parts(built)
+
+
+@lru_cache(maxsize=8)
+def _fitted(spark, folder, files, name):
+    """One of the models, so that a query on the other one does not wait for it."""
+    features, train, _ = _parts(spark, folder, files)
+    fit = {models.LOGISTIC: models.train_logistic, models.FOREST: models.train_forest}[name]
+    return fit(train, features)
+
+
 @lru_cache(maxsize=4)
 def _run(spark, folder, files):
-    return run_wide_branch(wide_master(spark, folder))
+    features, _, test = _parts(spark, folder, files)
+    names = (models.LOGISTIC, models.FOREST)
+    return scored_run(features, test, {n: _fitted(spark, folder, files, n) for n in names})
 
 
 def wide_run(spark, folder):
@@ -33,16 +49,19 @@ def wide_run(spark, folder):
     return _run(spark, folder, version(spark, folder, "embeddings"))
 
 
+def wide_model(spark, folder, name):
+    files = version(spark, folder, "embeddings")
+    return _fitted(spark, folder, files, name), _parts(spark, folder, files)[0]
+
+
 @query("train_logistic")
 def train_logistic(spark, folder):
-    run = wide_run(spark, folder)
-    return explain.coefficient_importance(run.models[models.LOGISTIC], run.features)
+    return explain.coefficient_importance(*wide_model(spark, folder, models.LOGISTIC))
 
 
 @query("train_forest")
 def train_forest(spark, folder):
-    run = wide_run(spark, folder)
-    return explain.impurity_importance(run.models[models.FOREST], run.features)
+    return explain.impurity_importance(*wide_model(spark, folder, models.FOREST))
 
 
 @query("coefficient_importance")

@@ -36,3 +36,14 @@ def test_entry(spark):
 def test_permutation_importance_uses_the_default_repeats():
     default = inspect.signature(explain.permutation_importance).parameters["repeats"].default
     assert modeling.REPEATS == default == 10
+
+
+def test_logistic_queries_fit_no_forest(spark, monkeypatch):
+    def forest(*args, **kwargs):
+        raise AssertionError("a forest was trained")
+
+    monkeypatch.setattr(modeling.models, "train_forest", forest)
+    for cached in (modeling._parts, modeling._fitted, modeling._run):
+        cached.cache_clear()
+    for name in ("train_logistic", "coefficient_importance"):
+        assert entry.queries()[name](spark, FOLDER).count() > 0
