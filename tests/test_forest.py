@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -60,3 +61,60 @@ def test_every_row_has_a_bin(rows):
     assert table.count() == 3000 and [len(x) for x in limits] == [31, 31, 31]
     bins = np.array([list(r.bins) for r in table.collect()])
     assert bins.shape == (3000, 3) and set(bins.ravel()) == set(range(32))
+
+
+def plain_cut(bins, label, count, chosen, weight):
+    """The best cut of one node by trying each limit of each chosen feature."""
+
+    def size_and_squares(rows):
+        held = np.array([count[rows & (label == c)].sum() for c in (0, 1)]) * weight
+        return held.sum(), (held**2).sum()
+
+    whole, squares = size_and_squares(np.ones(len(label), bool))
+    best = (-np.inf, None, None)
+    for place, feature in enumerate(chosen):
+        for last in range(forest.BINS - 1):
+            parts = [size_and_squares(side) for side in (bins[:, feature] <= last, bins[:, feature] > last)]
+            if all(size for size, _ in parts):
+                gain = sum(s / n for n, s in parts) / whole - squares / whole**2
+                best = max(best, (gain, -place, -last)) if best[1] is not None else (gain, -place, -last)
+    return best[0], -best[1], -best[2]
+
+
+def test_cuts_equal_plain_ones():
+    random = np.random.default_rng(3)
+    bins, label = random.integers(0, 8, (90, 5)).astype(np.uint8), random.integers(0, 2, 90)
+    count, node, weight = random.integers(1, 4, 90).astype(float), np.arange(90) % 3, np.array([0.5, 3.0])
+    chosen = np.array([[0, 3], [4, 1], [2, 0]])
+    hist = forest.histograms(bins, label, count, node, chosen, 2)
+    assert hist.shape == (3, 2, 2, forest.BINS)
+    gain, place, last, left = forest.best_cuts(hist, weight)
+    for n in range(3):
+        rows = node == n
+        expected = plain_cut(bins[rows], label[rows], count[rows], chosen[n], weight)
+        assert (place[n], last[n]) == expected[1:] and abs(gain[n] - expected[0]) < 1e-12
+        lower = rows & (bins[:, chosen[n, place[n]]] <= last[n])
+        assert left[n].tolist() == [count[lower & (label == c)].sum() for c in (0, 1)]
+
+
+def test_preorder_joins_leaves_that_predict_the_same():
+    # 0 -> 1, 2; 1 -> 3, 4 (both class 0, so 1 becomes a leaf); 2 -> 5, 6.
+    nodes = forest.Nodes(
+        [1, 3, 5, -1, -1, -1, -1], [2, 4, 6, -1, -1, -1, -1], [1, 0, 0, -1, -1, -1, -1], [0, 1, 2, -1, -1, -1, -1],
+        [0.3, 0.2, 0.1, -1.0, -1.0, -1.0, -1.0], [[9, 5], [6, 1], [3, 4], [4, 0], [2, 1], [3, 0], [0, 4]],
+    )
+    rows = forest.in_preorder(nodes, WEIGHT, [[1.0, 2.0, 3.0], [7.0]]).to_pylist()
+    assert [(r["id"], r["leftChild"], r["rightChild"], r["rawCount"]) for r in rows] == [
+        (0, 1, 2, 14), (1, -1, -1, 7), (2, 3, 4, 7), (3, -1, -1, 3), (4, -1, -1, 4)
+    ]
+    assert [(r["split"]["featureIndex"], r["split"]["leftCategoriesOrThreshold"]) for r in rows] == [
+        (1, [7.0]), (-1, []), (0, [3.0]), (-1, []), (-1, [])
+    ]
+    assert [r["gain"] for r in rows] == [0.3, -1.0, 0.1, -1.0, -1.0]
+
+
+def test_first_fit_reads_one_row_per_class(rows, monkeypatch):
+    fit, seen = RandomForestClassifier.fit, []
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: (seen.append(df.count()), fit(self, df))[1])
+    model = models.train_forest(rows, list("xyz"), trees=3, depth=2)
+    assert seen == [2] and model.stages[-1].getNumTrees == 3
