@@ -142,19 +142,22 @@ def means_by_step(df: DataFrame, features: Sequence[str], *others: Column) -> Da
 def step_means(df: DataFrame, features: Sequence[str], steps: Sequence) -> DataFrame:
     """One column per feature and step with the mean; no value where a step did not occur.
 
-    Means are taken per material and step and then turned with the known list of steps.
+    Means are taken per material and step and then turned with the known list of steps. They are dealt out by
+    material first, so that no task holds its means and half-turned rows of nearly as many materials at once.
     """
     if not features or not steps:
         return _known(df).select(F.col("MaterialID").alias("material_id")).distinct()
-    per_step = means_by_step(df, features)
-    turned = per_step.groupBy("material_id").pivot("StepID", list(steps))
-    wide = turned.agg(*[F.first(f).alias(f) for f in features])
+    per_step = means_by_step(df, features).repartition("material_id").groupBy("material_id")
+    columns = [(f, s) for f in features for s in steps]
+    if len(columns) <= AGGREGATES_PER_GROUPING:
+        # There is one mean at most, and a pivot would group by material and step again before it turns.
+        return per_step.agg(
+            *[F.max(F.when(F.col("StepID") == F.lit(s), F.col(f"`{f}`"))).alias(step_column(f, s)) for f, s in columns]
+        )
+    wide = per_step.pivot("StepID", list(steps)).agg(*[F.first(f).alias(f) for f in features])
     # Spark names a pivoted column by its step alone when there is one aggregate.
     name = (lambda s, f: str(s)) if len(features) == 1 else (lambda s, f: f"{s}_{f}")
-    return wide.select(
-        "material_id",
-        *[F.col(f"`{name(s, f)}`").alias(step_column(f, s)) for f in features for s in steps],
-    )
+    return wide.select("material_id", *[F.col(f"`{name(s, f)}`").alias(step_column(f, s)) for f, s in columns])
 
 
 def material_master(

@@ -67,6 +67,20 @@ def test_more_groupings_give_the_same_master(spark, monkeypatch):
     assert turned.columns == ["material_id", "feature_1_step_1_mean", "feature_1_step_2_mean"]
 
 
+def groupings(df):
+    """Aggregations of the plan, each of which may hold a group per material in a task."""
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("HashAggregate(")
+
+
+def test_step_means_group_by_step_once(spark):
+    df, steps = raw(spark), [1, 2, 3]
+    few = materials.step_means(df, event_features(df), steps)
+    # Each grouping has a part before its shuffle and one after it.
+    assert groupings(few) == 4
+    many = materials.step_means(df, event_features(df), [*steps, *range(100, 160)]).select(few.columns)
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+
+
 def test_master_without_features(spark):
     master = materials.material_master(raw(spark).drop("feature_1", "feature_2"), "d", "m")
     assert len(master.columns) == len(MATERIAL_METADATA_COLUMNS) + 5 and master.count() == 2
