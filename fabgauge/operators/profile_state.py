@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from fabgauge.functions.columns import EVENT_REQUIRED_COLUMNS, require_columns
 from fabgauge.functions.rules import coerce_numeric, missing_as_label
 from fabgauge.operators.events import row_count_statistics
+from fabgauge.operators.ordered import shuffle_partitions
 
 SOURCE = "profile_source"
 FLAGS = ["target", "is_test"]
@@ -170,7 +171,10 @@ def profile_summary(state: ProfileState) -> DataFrame:
             F.coalesce(F.sum("missing_count"), F.lit(0)).alias("duration_missing_count"),
         )
     )
-    equal = state.rows.groupBy("hash_1", "hash_2").agg(F.sum("count").alias("n"))
+    # Dealt out before they are grouped again, so that no task holds the groups of both at once. The number of
+    # partitions is given, as Spark would put so many of these short rows together that their groups are large.
+    dealt = state.rows.repartition(shuffle_partitions(state.rows), "hash_1", "hash_2")
+    equal = dealt.groupBy("hash_1", "hash_2").agg(F.sum("count").alias("n"))
     duplicates = equal.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))
     whole = per_material.withColumns(
         {"_durations": durations.scalar(), "duplicate_full_row_count": duplicates.scalar()}

@@ -56,6 +56,15 @@ def test_a_file_that_comes_again_replaces_its_counts(spark, tmp_path):
     assert tables(stored) == tables(ps.profile_state(rows, "all"))
 
 
+def test_equal_rows_are_dealt_out_before_they_are_grouped_again(spark):
+    rows = made(spark).drop("file")
+    state = ps.profile_state(rows.unionByName(rows), "all")
+    found = ps.profile_summary(state)
+    plan = found._jdf.queryExecution().toString()
+    assert "RepartitionByExpression [hash_1" in plan
+    assert found.first().duplicate_full_row_count >= rows.count()
+
+
 def test_nulls_are_told_apart_by_place(spark):
     rows = spark.createDataFrame(
         [("A", 1, 1.0, None, 2.0, 0, 0), ("A", 1, 1.0, 2.0, None, 0, 0)], EVENTS
