@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabgauge.operators.evaluate import SCORE
+from fabgauge.operators.forest import GrownForest
 from fabgauge.session import ensure_checkpoint_dir
 
 VALUES, OTHER, MARGIN = "_values", "_other", "_margin"
@@ -40,7 +41,8 @@ class Rescorer(Protocol):
 
 def prepared(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """The rows with the inputs of the classifier as an array."""
-    ready = PipelineModel(model.stages[:-1]).transform(rows)
+    stages = model.preparation if isinstance(model, GrownForest) else model.stages[:-1]
+    ready = PipelineModel(stages).transform(rows)
     return ready.withColumn(VALUES, vector_to_array("_features"))
 
 
@@ -175,6 +177,8 @@ class ForestRescorer:
 
     @classmethod
     def of(cls, model: PipelineModel) -> ForestRescorer:
+        if isinstance(model, GrownForest):
+            return cls(Forest(model.nodes()), model)
         spark = SparkSession.active()
         ensure_checkpoint_dir(spark)
         folder = f"{spark.sparkContext.getCheckpointDir()}/forest-{uuid.uuid4().hex}"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from fabgauge.functions.columns import WIDE_LINEAGE_COLUMNS, reject_metadata_features
 from fabgauge.operators import contracts, evaluate, explain, models, split
 from fabgauge.plans.master import Master
-from fabgauge.session import fix
+from fabgauge.session import fix, together
 
 # Columns of a master table that say something about a sample instead of measuring it.
 METADATA_COLUMNS = [*WIDE_LINEAGE_COLUMNS, "label", "label_original", "label_binary", "split", "sample_id", "timestamp"]
@@ -73,8 +73,8 @@ def run_wide_branch(
 ) -> WideRun:
     """Check a master table, train both models on its train rows and score its test rows."""
     train, test = checked_parts(master)
-    fitted = {
-        models.LOGISTIC: models.train_logistic(train, master.features),
-        models.FOREST: models.train_forest(train, master.features, trees=trees, depth=depth),
-    }
-    return scored_run(master.features, test, fitted)
+    logistic, forest = together(
+        lambda: models.train_logistic(train, master.features),
+        lambda: models.train_forest(train, master.features, trees=trees, depth=depth),
+    )
+    return scored_run(master.features, test, {models.LOGISTIC: logistic, models.FOREST: forest})

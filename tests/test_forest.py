@@ -1,12 +1,19 @@
 """Forests grown from bins: the same trees however the rows are dealt, as good as Spark's own."""
 
+import threading
+
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from fabgauge.operators import forest, models
+from fabgauge.plans import wide_run
+from fabgauge.queries import events
+from fabgauge.queries.wide import wide_master
+from fabgauge.sources import sinks
 
 WEIGHT = np.array([1.0, 1.0])
 
@@ -118,3 +125,49 @@ def test_first_fit_reads_one_row_per_class(rows, monkeypatch):
     monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: (seen.append(df.count()), fit(self, df))[1])
     model = models.train_forest(rows, list("xyz"), trees=3, depth=2)
     assert seen == [2] and model.stages[-1].getNumTrees == 3
+
+
+def test_rows_are_scored_as_by_sparks_model_without_reading_it(rows, monkeypatch, tmp_path):
+    model = models.train_forest(rows, list("xyz"), trees=25, depth=6)
+    probability = vector_to_array("_probability")[1].alias("p")
+    expected = {r.id: r.p for r in model.transform(rows).select("id", probability).collect()}
+    sinks.save_model(model, str(tmp_path / "model"))
+    loaded = sinks.load_model(str(tmp_path / "model"))
+
+    def load(folder):
+        raise AssertionError("Spark's model was read")
+
+    monkeypatch.setattr(RandomForestClassificationModel, "load", load)
+    again = models.train_forest(rows, list("xyz"), trees=25, depth=6)
+    for scorer in (again, loaded):
+        scored = models.positive_score(scorer, rows)
+        assert scored.columns == [*rows.columns, models.SCORE]
+        found = {r.id: r[models.SCORE] for r in scored.collect()}
+        assert found == pytest.approx(expected, rel=1e-12, abs=1e-12) and len(found) == 3000
+
+
+def test_a_root_without_a_cut_scores_every_row(spark):
+    rows = spark.range(40).selectExpr("id", "1.0D AS x", "cast(id % 4 = 0 AS int) AS label_binary")
+    scored = models.positive_score(models.train_forest(rows, ["x"], trees=3, depth=2), rows.where("id < 10"))
+    found = {r[models.SCORE] for r in scored.collect()}
+    assert scored.count() == 10 and len(found) == 1 and 0 < found.pop() < 1
+
+
+def test_both_models_are_fitted_side_by_side(spark, monkeypatch):
+    # Each fit waits for the other one to begin.
+    meet, fits = threading.Barrier(2, timeout=60), (models.train_logistic, models.train_forest)
+
+    def waiting(fit):
+        def begun(*args, **kwargs):
+            meet.wait()
+            return fit(*args, **kwargs)
+
+        return begun
+
+    for fit in fits:
+        monkeypatch.setattr(models, fit.__name__, waiting(fit))
+    folder = "/root/testdata/sf0.001"
+    trained = models.train_and_evaluate(events.d2_master(spark, folder), trees=2, depth=2)
+    assert list(trained.models) == [models.LOGISTIC, models.FOREST] and trained.metrics.count() == 2
+    run = wide_run.run_wide_branch(wide_master(spark, folder), trees=2, depth=2)
+    assert run.metrics().count() == 2
