@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +58,21 @@ def slices(batch: pa.RecordBatch) -> Iterator[list[list]]:
         yield [column.to_pylist() for column in part.columns]
 
 
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The task of an Arrow function, which gives free memory back to the system at its end: its worker lives on
+    for other tasks, and else keeps all that one of them once used."""
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it, and only it needs it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """Number the rows of each group without gaps from 0, for groups of any size.
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fabgauge.llm.common import SLICE, fresh, numbered, partitions, sorted_unique, stored
+from fabgauge.llm.common import SLICE, fresh, numbered, partitions, sorted_unique, stored, tidy
 from fabgauge.llm.components import components
 
 # Two documents link if 100 * common >= PERCENT * union.
@@ -158,6 +158,7 @@ def common_filter(docs: DataFrame) -> np.ndarray:
     parts = 4 * partitions(spark)
     first = np.uint64(int(COUNTED * 2**64))
 
+    @tidy
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
@@ -183,6 +184,7 @@ def common_filter(docs: DataFrame) -> np.ndarray:
         if held:
             yield flush()
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = None, []
 
@@ -224,6 +226,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     histogram of every row with an id."""
     known = docs.sparkSession.sparkContext.broadcast((*common_tokens(docs), common_filter(docs)))
 
+    @tidy
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, often, marked = known.value
         for batch in batches:
@@ -306,6 +309,7 @@ def open_cells(docs: DataFrame, members: DataFrame, queries: DataFrame) -> DataF
     )
 
 
+@tidy
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell, members first: keep one cell, and bound and compare what comes to it."""
     cell, members, union = None, [], None
@@ -334,6 +338,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@tidy
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct (token, group) of the deciding tokens of a task's documents, with the smallest set that
     holds the token and the largest set that a link through it allows.
@@ -379,6 +384,7 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+@tidy
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by token and least size: pairs of groups that share a token which allows both sizes."""
     names = ("token", "cell", "least", "most")
@@ -517,6 +523,7 @@ def _bounded(pairs: DataFrame, full: DataFrame) -> DataFrame:
     parts = among(full.select("doc_id", "parts"), "doc_id", ids).distinct()
     side = lambda name: parts.select(F.col("doc_id").alias(name), F.col("parts").alias(f"{name}_parts"))
 
+    @tidy
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("one_parts", "two_parts", "one_tokens", "two_tokens")]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fabgauge.llm.common import SLICE, sorted_unique, stored
+from fabgauge.llm.common import SLICE, sorted_unique, stored, tidy
 
 # N-grams in a profile; an n-gram outside it is this far out of place.
 PROFILE = 400
@@ -95,6 +95,7 @@ def learn_profiles(
             names=["lang", "code", "n"],
         )
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[np.ndarray]] = {}
         held = 0
@@ -154,6 +155,7 @@ def identify_languages(docs: DataFrame, profiles: dict[str, np.ndarray], text_co
     base = docs.drop("lang_pred", "score")
     ranks = docs.sparkSession.sparkContext.broadcast(Ranks(profiles))
 
+    @tidy
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[str, float]] = []

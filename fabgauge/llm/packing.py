@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fabgauge.llm.common import fresh, numbered, slices, stored
+from fabgauge.llm.common import fresh, numbered, slices, stored, tidy
 from fabgauge.llm.tokens import END_ID, worker_encoder
 
 Pattern = tuple[tuple[int, ...], int]
@@ -35,6 +35,7 @@ def token_pieces(
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     schema += ", ids array<long>" if with_ids else ""
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer)
         for batch in batches:
@@ -59,6 +60,7 @@ def token_pieces(
                     arrays.append(pa.array(columns[5], pa.list_(pa.int64())))
                     names_out.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names=names_out)
+        encoder.shrink()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(cut, schema)
@@ -215,6 +217,7 @@ def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
     lengths, ranks, sequences, offsets = (np.ascontiguousarray(c) for c in table.T)
     begins = np.searchsorted(lengths, np.arange(capacity + 2))
 
+    @tidy
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fabgauge.llm.common import SLICE
+from fabgauge.llm.common import SLICE, tidy
 
 # Lengths of n-grams in bytes, and buckets they are hashed to.
 GRAMS = (1, 2, 3, 4)
@@ -77,23 +77,24 @@ def dual_coordinate_descent(
 ) -> np.ndarray:
     """Weights (the last one is the bias) of the hinge-loss model on scaled indicators.
 
-    Each class has the same total cost.
+    Each class has the same total cost. Scaled values are made again at each step, as those of all documents
+    would take several times the memory of the rows.
     """
     signs = np.where(labels == 1, 1.0, -1.0)
     share = np.array([np.mean(labels == label) for label in (0, 1)])
     cost = COST * 0.5 / share[labels.astype(int)]
     weights = np.zeros(WIDTH + 1)
-    values = [np.append(scaled(row, ratio, floor), 1.0) for row in rows]
-    places = [np.append(row, WIDTH) for row in rows]
-    squares = np.array([x @ x for x in values])
+    values = lambda row: np.append(scaled(row, ratio, floor), 1.0)
+    squares = np.array([x @ x for x in map(values, rows)])
     alpha = np.zeros(len(rows))
     random = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for i in random.permutation(len(rows)):
-            gradient = signs[i] * (weights[places[i]] @ values[i]) - 1.0
+            place, x = np.append(rows[i], WIDTH), values(rows[i])
+            gradient = signs[i] * (weights[place] @ x) - 1.0
             new = min(max(alpha[i] - gradient / squares[i], 0.0), cost[i])
             if new != alpha[i]:
-                weights[places[i]] += (new - alpha[i]) * signs[i] * values[i]
+                weights[place] += (new - alpha[i]) * signs[i] * x
                 alpha[i] = new
     return weights
 
@@ -121,12 +122,13 @@ def fit(sample: DataFrame, shares: dict[int, float]) -> tuple[np.ndarray, float,
     task fits the model. Rows are sorted first, so a repeated attempt gives the same.
     """
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, labels, held = [], [], []
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE):
                 part = batch.slice(at, SLICE).to_pydict()
-                rows += [features(t) for t in part["text"]]
+                rows += [features(t).astype(np.int32) for t in part["text"]]
                 labels += part["label"]
                 held += part["held"]
         if not rows:
@@ -194,6 +196,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_per_class: int = SA
         (np.append(ratio * weights[:-1], weights[-1]), ratio**2)
     )
 
+    @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, squares = model.value
         bias = float(plain[-1])

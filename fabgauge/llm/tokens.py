@@ -13,6 +13,7 @@ import string
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -20,6 +21,8 @@ from tokenizers import Tokenizer
 
 # Words in each of the two halves of a worker's cache, about 200 bytes each, and word endings kept.
 CACHE_WORDS, CACHE_ENDINGS = 250_000, 10_000
+# Words that a worker keeps from one task to the next: those met first, as nearly all common ones are.
+KEPT_WORDS = 30_000
 END_ID = 2
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
@@ -119,6 +122,11 @@ class Encoder:
         joined = b"".join(found)
         return np.frombuffer(joined, self.dtype)
 
+    def shrink(self, words: int = KEPT_WORDS) -> None:
+        """Keep only so many words, when a task is over and other work may follow."""
+        first = self.older if len(self.older) >= words else self.cache
+        self.older, self.cache = {}, dict(islice(first.items(), words))
+
     def documents(self, texts: list[str | None], end_id: int = END_ID) -> Iterator[np.ndarray]:
         """Ids of each text and the end id; a null text is empty."""
         for text in texts:
