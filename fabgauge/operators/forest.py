@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabgauge.operators.ordered import shuffle_partitions
+from fabgauge.operators.profile import melt
 from fabgauge.session import ensure_checkpoint_dir, pin, together
 
 # Bins of a feature, and how many quantiles are looked at to find their limits.
@@ -56,11 +57,15 @@ _SAVED = pa.schema([("treeID", pa.int32()), ("nodeData", _NODE)])
 
 def bin_limits(rows: DataFrame, features: Sequence[str]) -> list[list[float]]:
     """Increasing upper limits of all bins but the last: every value if there are few, else quantiles."""
-    shares = [i / QUANTILES for i in range(QUANTILES + 1)]
-    numbered = rows.select(*[F.col(f"`{f}`").cast("double").alias(f"q{i}") for i, f in enumerate(features)])
-    found = numbered.approxQuantile(numbered.columns, shares, 0.25 / QUANTILES)
+    shares = F.lit(np.arange(QUANTILES + 1) / QUANTILES)
+    values = [F.nanvl(F.col(f"`{f}`").cast("double"), F.lit(None)).alias(f"q{i}") for i, f in enumerate(features)]
+    # The sketches of approxQuantile, whose result the driver would fetch number by number.
+    quantiles = F.percentile_approx("value", shares, 4 * QUANTILES).alias("values")
+    long = melt(rows.select(*values), [f"q{i}" for i in range(len(features))])
+    found = {r["feature"]: r["values"] for r in long.groupBy("feature").agg(quantiles).collect()}
     limits = []
-    for values in found:
+    for i in range(len(features)):
+        values = found.get(f"q{i}") or []
         distinct = np.unique(values)[:-1]
         if len(distinct) >= BINS:
             distinct = np.unique([values[QUANTILES * i // BINS] for i in range(1, BINS)])

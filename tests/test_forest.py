@@ -171,3 +171,19 @@ def test_both_models_are_fitted_side_by_side(spark, monkeypatch):
     assert list(trained.models) == [models.LOGISTIC, models.FOREST] and trained.metrics.count() == 2
     run = wide_run.run_wide_branch(wide_master(spark, folder), trees=2, depth=2)
     assert run.metrics().count() == 2
+
+
+def test_limits_of_bins_are_not_fetched_one_by_one(spark, monkeypatch):
+    names = [f"x{i}" for i in range(24)]
+    rows = spark.range(700).select(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)).alias(n) for i, n in enumerate(names)])
+    rows = rows.withColumn("none", F.lit(None).cast("double")).withColumn("gap", F.when(F.col("x0") < 3, F.lit(float("nan"))).otherwise(2.0))
+    names += ["none", "gap"]
+    plain = rows.select(*[F.col(n).cast("double") for n in names]).approxQuantile(names, [i / 256 for i in range(257)], 0.25 / 256)
+    client = spark.sparkContext._gateway._gateway_client
+    calls, send = [], client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: calls.append(1) or send(*a, **k))
+    limits = forest.bin_limits(rows, names)
+    assert len(calls) < 4000
+    assert limits[-2:] == [[], []]
+    for found, values in zip(limits[:-2], plain, strict=False):
+        assert found == np.unique([values[256 * i // 32] for i in range(1, 32)]).tolist()
