@@ -14,6 +14,7 @@ from fabgauge.operators.contracts import assert_labels
 from fabgauge.operators.impute import fill, fit_medians
 from fabgauge.operators.quality import quality_counts, selected_features
 from fabgauge.operators.split import stratified_split
+from fabgauge.session import together
 
 # Lineage of the modeling master table.
 WIDE_LINEAGE = {
@@ -65,11 +66,13 @@ def build_master(
     """
     require_columns(df, ["sample_id", "label"], "Sensor table")
     assert_labels(df, "label")
-    features = selected_features(df, quality)
     labelled = label_rows(df)
     if "timestamp" not in labelled.columns:
         labelled = labelled.withColumn("timestamp", F.lit(None).cast("string"))
-    split = stratified_split(labelled, "label_binary", "sample_id", test_size, seed)
+    features, split = together(
+        lambda: selected_features(df, quality),
+        lambda: stratified_split(labelled, "label_binary", "sample_id", test_size, seed),
+    )
     medians = fit_medians(split, features)
     keys = ["sample_id", "timestamp", "label_original", "label_binary", "split"]
     table = fill(split.select(*keys, *features), medians)
@@ -84,8 +87,10 @@ def build_feature_set(
     One table with a split column takes the place of separate train and test files.
     """
     require_columns(df, ["sample_id", "label"], "Sensor table")
-    features = selected_features(df, quality)
-    split = stratified_split(df, "label", "sample_id", test_size, seed)
+    features, split = together(
+        lambda: selected_features(df, quality),
+        lambda: stratified_split(df, "label", "sample_id", test_size, seed),
+    )
     medians = fit_medians(split, features)
     return Master(fill(split.select("sample_id", "label", "split", *features), medians), features, medians)
 
