@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fabgauge.operators.evaluate import LABEL, SCORE, curve_areas, top_risk_ids
+from fabgauge.operators.forest import GrownForest
 from fabgauge.operators.models import FOREST, LOGISTIC, SEED
 from fabgauge.operators.ordered import exact_median, hash_key, with_hash_rank, with_rank
 from fabgauge.operators.profile import melt
@@ -57,7 +58,9 @@ def coefficient_importance(model: PipelineModel, features: Sequence[str]) -> Dat
 
 
 def impurity_importance(model: PipelineModel, features: Sequence[str]) -> DataFrame:
-    values = model.stages[-1].featureImportances.toArray()
+    """Share of the forest's gains; a grown forest adds them up without Spark's model, an object per node on the driver."""
+    grown = isinstance(model, GrownForest)
+    values = model.importances(len(features)) if grown else model.stages[-1].featureImportances.toArray()
     return _importance_rows(FOREST, IMPURITY, features, values)
 
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -30,6 +31,8 @@ from fabgauge.session import ensure_checkpoint_dir, pin, together
 BINS, QUANTILES = 32, 256
 # Bytes of a node's rows that one task may hold, and nodes whose histograms are held at a time.
 GROUP_BYTES, NODES_AT_ONCE = 16_000_000, 512
+# Nodes of a forest that scores are made from at a time, 20 bytes each.
+GROUP_NODES = 250_000
 # A smaller gain is rounding.
 LEAST_GAIN = 1e-12
 # Shares of rows drawn at most 0, 1, 2, ... times, when as many are drawn as there are.
@@ -428,23 +431,13 @@ def forest_nodes(table: DataFrame, data: Setting, trees: int, group_rows: int) -
 
 
 class Trees:
-    """The trees of a saved forest for two classes, as arrays of nodes in preorder: a left child follows its node.
+    """Some trees of a saved forest for two classes, as arrays of nodes in preorder: a left child follows its node.
 
     The value of a leaf is its share of class 1, and its right child the place of its share of class 0.
     """
 
-    def __init__(self, nodes: DataFrame):
-        """From the node table, whose size the model bounds."""
-        split, stats = F.col("nodeData.split"), F.col("nodeData.impurityStats")
-        leaf, (good, bad) = F.col("nodeData.leftChild") < 0, (F.try_divide(stats[c], stats[0] + stats[1]) for c in (0, 1))
-        table = nodes.select(
-            "treeID",
-            F.col("nodeData.id").alias("id"),
-            F.col("nodeData.rightChild").alias("right"),
-            F.when(leaf, -1).otherwise(split["featureIndex"]).cast("int").alias("feature"),
-            F.when(leaf, F.coalesce(bad, F.lit(0.0))).otherwise(F.get(split["leftCategoriesOrThreshold"], F.lit(0))).alias("value"),
-            F.when(leaf, F.coalesce(good, F.lit(0.0))).alias("good"),
-        ).toArrow()
+    def __init__(self, table: pa.Table):
+        """From rows of ``compact``, whole trees."""
         order = np.lexsort([table[c].to_numpy() for c in ("id", "treeID")])
         self.roots = np.flatnonzero(table["id"].to_numpy()[order] == 0)
         self.feature, self.value = (table[c].to_numpy()[order] for c in ("feature", "value"))
@@ -453,33 +446,126 @@ class Trees:
         start = np.repeat(self.roots, np.diff([*self.roots, len(order)]))
         self.right = np.where(inner, table["right"].to_numpy()[order] + start, np.cumsum(~inner) - 1).astype(np.int32)
 
-    def scores(self, values: np.ndarray) -> np.ndarray:
-        """Probability of class 1 by row; the votes are added up tree by tree, as Spark's model does."""
-        good, bad = np.zeros((2, len(values)))
-        for root in self.roots:
-            node = np.full(len(values), root)
-            open_ = np.flatnonzero(self.feature[node] >= 0)
-            while len(open_):
-                at = node[open_]
-                lower = values[open_, self.feature[at]] <= self.value[at]
-                at = node[open_] = np.where(lower, at + 1, self.right[at])
-                open_ = open_[self.feature[at] >= 0]
-            good += self.good[self.right[node]]
-            bad += self.value[node]
-        return np.divide(bad, good + bad, out=np.zeros(len(values)), where=good + bad != 0)
+    def votes(self, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shares of class 0 and 1."""
+        return self.good[self.right[leaves]], self.value[leaves]
+
+    def leaves(self, root: int, values: np.ndarray) -> np.ndarray:
+        node = np.full(len(values), root)
+        open_ = np.flatnonzero(self.feature[node] >= 0)
+        while len(open_):
+            at = node[open_]
+            lower = values[open_, self.feature[at]] <= self.value[at]
+            at = node[open_] = np.where(lower, at + 1, self.right[at])
+            open_ = open_[self.feature[at] >= 0]
+        return node
+
+    def other_leaves(self, root: int, values: np.ndarray, other: np.ndarray):
+        """The leaf of each row, and ``row, feature, leaf`` where one feature taken from ``other`` leaves the row's path.
+
+        A path is left at the first node that tests the feature and sends the other value to the other side; only
+        from there on it is walked again.
+        """
+        node, met = np.full(len(values), root), np.zeros(values.shape, bool)
+        open_ = np.flatnonzero(self.feature[node] >= 0)
+        left = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64))]
+        while len(open_):
+            at = node[open_]
+            feature, limit = self.feature[at], self.value[at]
+            lower = values[open_, feature] <= limit
+            first = np.flatnonzero((lower != (other[open_, feature] <= limit)) & ~met[open_, feature])
+            below, above = at + 1, self.right[at]
+            row, tests = open_[first], feature[first]
+            met[row, tests] = True
+            left.append((row, tests, np.where(lower[first], above[first], below[first])))
+            at = node[open_] = np.where(lower, below, above)
+            open_ = open_[self.feature[at] >= 0]
+        row, feature, leaf = (np.concatenate(c) for c in zip(*left))
+        open_ = np.flatnonzero(self.feature[leaf] >= 0)
+        while len(open_):
+            at, rows = leaf[open_], row[open_]
+            tests = self.feature[at]
+            source = np.where(tests == feature[open_], other[rows, tests], values[rows, tests])
+            at = leaf[open_] = np.where(source <= self.value[at], at + 1, self.right[at])
+            open_ = open_[self.feature[at] >= 0]
+        return node, row, feature, leaf
+
+
+def compact(nodes: DataFrame) -> DataFrame:
+    """The columns of a node table that scores need."""
+    split, stats = F.col("nodeData.split"), F.col("nodeData.impurityStats")
+    total = F.aggregate(stats, F.lit(0.0), lambda sum_, rows: sum_ + rows)
+    leaf, (good, bad) = F.col("nodeData.leftChild") < 0, (F.try_divide(stats[c], total) for c in (0, 1))
+    return nodes.select(
+        "treeID",
+        F.col("nodeData.id").alias("id"),
+        F.col("nodeData.rightChild").alias("right"),
+        F.when(leaf, -1).otherwise(split["featureIndex"]).cast("int").alias("feature"),
+        F.when(leaf, F.coalesce(bad, F.lit(0.0))).otherwise(F.get(split["leftCategoriesOrThreshold"], F.lit(0))).alias("value"),
+        F.when(leaf, F.coalesce(good, F.lit(0.0))).alias("good"),
+    )
+
+
+def tree_groups(nodes: DataFrame) -> list[Broadcast]:
+    """All trees in order, in groups of about GROUP_NODES nodes, of which the driver and a worker hold one at a time."""
+    sizes = sorted(tuple(r) for r in nodes.groupBy("treeID").count().collect())
+    ends = np.cumsum([n for _, n in sizes])
+    number = (ends - 1) // GROUP_NODES
+    groups = []
+    for g in np.unique(number):
+        trees = [sizes[i][0] for i in np.flatnonzero(number == g)]
+        rows = compact(nodes.where(F.col("treeID").between(trees[0], trees[-1])))
+        groups.append(nodes.sparkSession.sparkContext.broadcast(Trees(rows.toArrow())))
+    return groups
+
+
+def opened(groups: Sequence[Broadcast]) -> Iterator[Trees]:
+    """One group after the other; a worker, which would keep all it once read, forgets each after its use."""
+    for group in groups:
+        yield group.value
+        if getattr(group, "_path", None):
+            vars(group).pop("_value", None)
+
+
+def share(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Probability of class 1 from the votes, as Spark's model has it."""
+    return np.divide(bad, good + bad, out=np.zeros(bad.shape), where=good + bad != 0)
+
+
+def scores(groups: Sequence[Broadcast], values: np.ndarray) -> np.ndarray:
+    """Probability of class 1 by row; the votes are added up tree by tree, as Spark's model does."""
+    totals = np.zeros((2, len(values)))
+    for trees in opened(groups):
+        for root in trees.roots:
+            totals += trees.votes(trees.leaves(root, values))
+    return share(*totals)
+
+
+def changed_scores(groups: Sequence[Broadcast], values: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Scores by row and feature, with the one feature taken from ``other``, added up in the same order."""
+    totals = np.zeros((2, *values.shape))
+    for trees in opened(groups):
+        for root in trees.roots:
+            leaf, row, feature, again = trees.other_leaves(root, values, other)
+            for total, plain, moved in zip(totals, trees.votes(leaf), trees.votes(again), strict=True):
+                # Where the path is left, the other leaf votes instead.
+                kept = total[row, feature] + moved
+                total += plain[:, None]
+                total[row, feature] = kept
+    return share(*totals)
 
 
 class GrownForest(PipelineModel):
     """Preparation and a grown forest in the files of Spark's model.
 
     Spark's model holds an object per node and is read from the files only when ``stages`` are asked for, as
-    saving and ``transform`` do; rows are scored from the trees as arrays.
+    saving and ``transform`` do; rows are scored from the trees as arrays, and importances added up by Spark.
     """
 
     def __init__(self, preparation: Sequence[Transformer], folder: str, classes: int, depth: int):
         super(PipelineModel, self).__init__()
         self.preparation, self.folder, self.classes, self.depth = list(preparation), folder, classes, depth
-        self._forest = None
+        self._forest = self._groups = None
 
     @property
     def stages(self) -> list[Transformer]:
@@ -491,17 +577,36 @@ class GrownForest(PipelineModel):
         """``treeID, nodeData`` of all nodes."""
         return SparkSession.active().read.schema(SAVED).parquet(f"{self.folder}/data")
 
+    def groups(self) -> list[Broadcast]:
+        """The trees as arrays, sent to the workers once."""
+        if self._groups is None:
+            self._groups = tree_groups(self.nodes())
+        return self._groups
+
+    def importances(self, features: int) -> np.ndarray:
+        """Gains of each feature by the rows they were made on, as shares of a tree's and then of all, as Spark's model
+        has them, added up where the nodes are."""
+        rows = F.aggregate("nodeData.impurityStats", F.lit(0.0), lambda sum_, rows: sum_ + rows)
+        inner = self.nodes().where("nodeData.leftChild >= 0")
+        by_tree = inner.groupBy("treeID", F.col("nodeData.split.featureIndex").alias("feature"))
+        found = by_tree.agg(F.sum(F.col("nodeData.gain") * rows).alias("gain")).orderBy("treeID", "feature").toArrow()
+        tree, feature, gain = (found[c].to_numpy() for c in ("treeID", "feature", "gain"))
+        whole = np.bincount(tree, gain)[tree]
+        shares = np.divide(gain, whole, out=np.zeros(len(gain)), where=whole != 0)
+        total = np.bincount(feature, shares, features)
+        return total / total.sum() if total.sum() else total
+
     def score(self, rows: DataFrame, name: str) -> DataFrame:
         """The rows with the probability of class 1, for a forest of two classes."""
-        trees = Trees(self.nodes())
+        groups = self.groups()
 
         @F.arrow_udf("double")
-        def scores(values: pa.Array) -> pa.Array:
+        def scored(values: pa.Array) -> pa.Array:
             matrix = values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
-            return pa.array(trees.scores(matrix))
+            return pa.array(scores(groups, matrix))
 
         ready = PipelineModel(self.preparation).transform(rows)
-        return ready.select(*rows.columns, scores(vector_to_array("_features")).alias(name))
+        return ready.select(*rows.columns, scored(vector_to_array("_features")).alias(name))
 
 
 def train(

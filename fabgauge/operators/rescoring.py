@@ -13,18 +13,19 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fabgauge.operators import forest
 from fabgauge.operators.evaluate import SCORE
-from fabgauge.operators.forest import GrownForest
 from fabgauge.session import ensure_checkpoint_dir
 
 VALUES, OTHER, MARGIN = "_values", "_other", "_margin"
-# Rows whose paths through all trees are held at a time.
-FOREST_ROWS = 64
+# Rows that are walked through a tree at a time.
+FOREST_ROWS = 4096
 
 
 class Rescorer(Protocol):
@@ -41,7 +42,7 @@ class Rescorer(Protocol):
 
 def prepared(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """The rows with the inputs of the classifier as an array."""
-    stages = model.preparation if isinstance(model, GrownForest) else model.stages[:-1]
+    stages = model.preparation if isinstance(model, forest.GrownForest) else model.stages[:-1]
     ready = PipelineModel(stages).transform(rows)
     return ready.withColumn(VALUES, vector_to_array("_features"))
 
@@ -88,102 +89,22 @@ class LinearRescorer:
         return pairs.select(*keep, F.posexplode(scores).alias("_at", SCORE))
 
 
-class Forest:
-    """Trees as arrays of nodes; inner nodes send values up to their threshold to the left."""
-
-    def __init__(self, nodes: DataFrame):
-        """From the node table of a saved model, whose size the model bounds."""
-        split = F.col("nodeData.split")
-        rows = nodes.select(
-            "treeID",
-            F.col("nodeData.id").alias("id"),
-            F.col("nodeData.leftChild").alias("left"),
-            F.col("nodeData.rightChild").alias("right"),
-            split["featureIndex"].alias("feature"),
-            F.get(split["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
-            F.col("nodeData.impurityStats").alias("stats"),
-        ).toPandas()
-        rows = rows.sort_values(["treeID", "id"], ignore_index=True)
-        inner = rows["left"].to_numpy() >= 0
-        self.roots = np.flatnonzero(rows["id"].to_numpy() == 0)
-        first = np.repeat(self.roots, np.diff(np.append(self.roots, len(rows))))
-        self.feature = np.where(inner, rows["feature"].to_numpy(), -1)
-        self.threshold = np.where(inner, rows["threshold"].to_numpy(np.float64, na_value=np.nan), np.nan)
-        self.left, self.right = first + rows["left"].to_numpy(), first + rows["right"].to_numpy()
-        counts = np.array(rows["stats"].tolist(), np.float64).reshape(len(rows), -1)
-        total = counts.sum(1)
-        self.good, self.bad = (
-            np.divide(counts[:, c], total, out=np.zeros(len(rows)), where=total != 0) for c in (0, 1)
-        )
-
-    def _next(self, node: np.ndarray, value: np.ndarray) -> np.ndarray:
-        return np.where(value <= self.threshold[node], self.left[node], self.right[node])
-
-    def leaves(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Leaf by row and tree, and which features each path tests, by row, tree and feature."""
-        count, trees = len(values), len(self.roots)
-        row = np.repeat(np.arange(count), trees)
-        node = np.tile(self.roots, count)
-        tested = np.zeros((count * trees, values.shape[1]), bool)
-        open_ = np.flatnonzero(self.feature[node] >= 0)
-        while len(open_):
-            at = node[open_]
-            feature = self.feature[at]
-            tested[open_, feature] = True
-            node[open_] = self._next(at, values[row[open_], feature])
-            open_ = open_[self.feature[node[open_]] >= 0]
-        return node.reshape(count, trees), tested.reshape(count, trees, -1)
-
-    def share(self, leaves: np.ndarray) -> np.ndarray:
-        """Probability of class 1 from the leaves of each row, added up tree by tree."""
-        if not len(leaves):
-            return np.zeros(0)
-        bad, good = (np.cumsum(votes[leaves], 1)[:, -1] for votes in (self.bad, self.good))
-        return np.divide(bad, good + bad, out=np.zeros(len(leaves)), where=good + bad != 0)
-
-    def changed(self, values: np.ndarray, other: np.ndarray) -> np.ndarray:
-        """Scores by row and feature, with the one feature taken from ``other``.
-
-        Only trees whose path tests the feature are walked again; the others keep their votes.
-        """
-        leaves, tested = self.leaves(values)
-        scores = np.repeat(self.share(leaves)[:, None], values.shape[1], 1)
-        for feature in range(values.shape[1]):
-            moved = values[:, feature] != other[:, feature]
-            row, tree = np.nonzero(tested[:, :, feature] & moved[:, None])
-            if not len(row):
-                continue
-            node = self.roots[tree]
-            open_ = np.arange(len(row))
-            while len(open_):
-                at = node[open_]
-                tests = self.feature[at]
-                source = np.where(tests == feature, other[row[open_], tests], values[row[open_], tests])
-                node[open_] = self._next(at, source)
-                open_ = open_[self.feature[node[open_]] >= 0]
-            rows = np.unique(row)
-            again = leaves[rows]
-            again[np.searchsorted(rows, row), tree] = node
-            scores[rows, feature] = self.share(again)
-        return scores
-
-
 @dataclass(frozen=True)
 class ForestRescorer:
-    """A random forest, read from its saved nodes."""
+    """A random forest, whose trees are read from its saved nodes, some at a time."""
 
-    forest: Forest
+    groups: Sequence[Broadcast]
     model: PipelineModel
 
     @classmethod
     def of(cls, model: PipelineModel) -> ForestRescorer:
-        if isinstance(model, GrownForest):
-            return cls(Forest(model.nodes()), model)
+        if isinstance(model, forest.GrownForest):
+            return cls(model.groups(), model)
         spark = SparkSession.active()
         ensure_checkpoint_dir(spark)
         folder = f"{spark.sparkContext.getCheckpointDir()}/forest-{uuid.uuid4().hex}"
         model.stages[-1].write().save(folder)
-        return cls(Forest(spark.read.parquet(f"{folder}/data")), model)
+        return cls(forest.tree_groups(spark.read.parquet(f"{folder}/data")), model)
 
     def inputs(self, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
         return prepared(self.model, rows).select(*keep, VALUES)
@@ -197,7 +118,7 @@ class ForestRescorer:
         return scored.select(*keep, F.posexplode("_scores").alias("_at", SCORE))
 
     def _mapped(self, rows: DataFrame, keep: Sequence[str], arrays: int) -> DataFrame:
-        forest, kept = self.forest, len(keep)
+        groups, kept = self.groups, len(keep)
 
         def matrix(column: pa.Array, count: int) -> np.ndarray:
             return column.flatten().to_numpy(zero_copy_only=False).reshape(count, -1)
@@ -208,9 +129,9 @@ class ForestRescorer:
                     part = batch.slice(start, FOREST_ROWS)
                     values = [matrix(c, part.num_rows) for c in part.columns[kept:]]
                     if arrays == 1:
-                        scores = forest.share(forest.leaves(values[0])[0])[:, None]
+                        scores = forest.scores(groups, values[0])[:, None]
                     else:
-                        scores = forest.changed(*values)
+                        scores = forest.changed_scores(groups, *values)
                     offsets = np.arange(part.num_rows + 1, dtype=np.int32) * scores.shape[1]
                     column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(scores.ravel()))
                     yield pa.RecordBatch.from_arrays(

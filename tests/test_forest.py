@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from fabgauge.operators import forest, models
+from fabgauge.operators import explain, forest, models, rescoring
 from fabgauge.plans import wide_run
 from fabgauge.queries import events
 from fabgauge.queries.wide import wide_master
@@ -187,3 +187,28 @@ def test_limits_of_bins_are_not_fetched_one_by_one(spark, monkeypatch):
     assert limits[-2:] == [[], []]
     for found, values in zip(limits[:-2], plain, strict=False):
         assert found == np.unique([values[256 * i // 32] for i in range(1, 32)]).tolist()
+
+
+def test_importance_and_rescoring_hold_few_nodes_at_a_time(rows, monkeypatch):
+    model, names = models.train_forest(rows, list("xyz"), trees=25, depth=6), list("xyz")
+    expected = models.train_forest(rows, names, trees=25, depth=6).stages[-1].featureImportances.toArray()
+
+    def load(folder):
+        raise AssertionError("Spark's model was read")
+
+    monkeypatch.setattr(RandomForestClassificationModel, "load", load)
+    monkeypatch.setattr(forest, "GROUP_NODES", 100)
+    found = {r.feature: r.importance for r in explain.impurity_importance(model, names).collect()}
+    assert [found[n] for n in names] == pytest.approx(expected.tolist(), rel=1e-9)
+    scorer = rescoring.ForestRescorer.of(model)
+    nodes = [len(g.value.feature) for g in scorer.groups]
+    assert len(nodes) > 3 and sum(nodes) == model.nodes().count() and max(nodes) < 100 + 2**7
+    values = np.array(rows.where("id < 200").select(names).collect())
+    other = values[::-1].copy()
+    changed = forest.changed_scores(scorer.groups, values, other)
+    for i in range(3):
+        moved = values.copy()
+        moved[:, i] = other[:, i]
+        # The votes are added up in the same order, so equal leaves give equal scores.
+        assert changed[:, i].tolist() == forest.scores(scorer.groups, moved).tolist()
+    assert (changed != forest.scores(scorer.groups, values)[:, None]).any()
