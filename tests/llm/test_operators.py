@@ -242,6 +242,17 @@ def test_components_equal_brute_force(spark, docs, empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+@pytest.mark.parametrize("choice", ["none", "all", "odd"])
+def test_no_choice_of_common_tokens_loses_a_link(spark, docs, monkeypatch, choice):
+    """The sample only orders tokens: without one, and with made-up counts of any tokens, the links are all there."""
+    tokens = np.unique(np.concatenate([jaccard.shingles(d[1]) for d in documents()]))
+    tokens = {"none": tokens[:0], "all": tokens, "odd": tokens[1::2]}[choice]
+    counts = np.random.default_rng(5).integers(1, 9000, len(tokens))
+    monkeypatch.setattr(jaccard, "common_tokens", lambda rows: (tokens, counts))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs).collect() if r.doc_id is not None}
+    assert found == brute_components([(d[0], d[1]) for d in documents() if d[0] is not None])
+
+
 def test_near_copies_of_every_closeness(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "RARE", 2)
     monkeypatch.setattr(jaccard, "CELL_TOKENS", 300)
