@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fabgauge.operators import explain, forest, models, rescoring
 from fabgauge.plans import wide_run
-from fabgauge.queries import events
+from fabgauge.queries import events, modeling
 from fabgauge.queries.wide import wide_master
 from fabgauge.sources import sinks
 
@@ -212,3 +212,39 @@ def test_importance_and_rescoring_hold_few_nodes_at_a_time(rows, monkeypatch):
         # The votes are added up in the same order, so equal leaves give equal scores.
         assert changed[:, i].tolist() == forest.scores(scorer.groups, moved).tolist()
     assert (changed != forest.scores(scorer.groups, values)[:, None]).any()
+
+
+def test_rows_of_few_trees_are_dealt_out_at_once(rows, monkeypatch):
+    names, rounds, lower_parts = list("xyz"), [], forest.lower_parts
+    monkeypatch.setattr(forest, "lower_parts", lambda *a: (rounds.append(a[-1]), lower_parts(*a))[1])
+    monkeypatch.setattr(type(rows), "checkpoint", lambda *a, **k: pytest.fail("rows were written with all their columns"))
+    one = models.train_forest(rows, names, trees=10, depth=6).stages[-1]
+    # Some 0.64 of 3000 rows of 5 bytes a tree.
+    monkeypatch.setattr(forest, "ROUND_BYTES", 40_000)
+    several = models.train_forest(rows, names, trees=10, depth=6).stages[-1]
+    assert rounds == [range(10), range(4), range(4, 8), range(8, 10)]
+    assert several.getNumTrees == 10 and several.toDebugString.split("\n")[1:] == one.toDebugString.split("\n")[1:]
+
+
+def test_master_is_stored_by_columns(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "train_and_evaluate", seen.append)
+    modeling.trained_on(spark.range(50).selectExpr("id", "id % 3 AS a", "'x' AS b"))
+    assert seen[0].inputFiles()[0].endswith(".parquet") and seen[0].count() == 50
+
+
+def test_draws_and_large_nodes_as_before():
+    ids = np.random.default_rng(2).integers(0, 2**62, 20_000)
+    start = (2 * 0x9E3779B97F4A7C15 + 42 * 0xD1B54A32D192ED03) & 0xFFFFFFFFFFFFFFFF
+    x = ids.view(np.uint64) ^ np.uint64(start)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    plain = np.searchsorted(forest.DRAWN, (x >> np.uint64(11)) / 2.0**53, side="right")
+    count = forest.draws(ids, 1, 42)
+    assert count.tolist() == plain.tolist() and count.max() > 4
+    random = np.random.default_rng(4)
+    node = np.repeat([0, 1, 2, 4], [2500, 30, 4000, 500])  # node 3 has no rows
+    bins, label = random.integers(0, 32, (len(node), 6)).astype(np.uint8), random.integers(0, 2, len(node))
+    times, chosen = random.integers(1, 4, len(node)).astype(float), np.array([random.permutation(6)[:3] for _ in range(5)])
+    found = forest.sorted_histograms(bins, label, times, node, chosen, 2)
+    assert (found == forest.histograms(bins, label, times, node, chosen, 2)).all()
